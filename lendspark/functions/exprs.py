@@ -28,6 +28,20 @@ def round_half_up(c: str | Column, digits: int) -> Column:
     return F.round(col(c).cast(DECIMAL_FOR_ROUNDING), digits).cast("double")
 
 
+MONEY = "decimal(18,2)"
+
+
+def money(c: str | Column) -> Column:
+    """A currency amount as an exact decimal (cents)."""
+    return col(c).cast(MONEY)
+
+
+def money_sum(c: str | Column) -> Column:
+    """Exact sum of a currency column (DECIMAL), returned as double. Exact sums
+    do not depend on the order in which partitions are combined."""
+    return F.sum(money(c)).cast("double")
+
+
 def safe_div(a: str | Column, b: str | Column) -> Column:
     """a / b as double, NULL when b is 0 or NULL (ANSI mode raises on 0)."""
     return col(a).cast("double") / F.nullif(col(b).cast("double"), F.lit(0.0))
