@@ -9,6 +9,7 @@ from lendspark.plans.registry import REGISTRY
 MODULES = [
     "lendspark.plans.q_features",
     "lendspark.plans.q_scoring",
+    "lendspark.plans.q_audit",
 ]
 
 
