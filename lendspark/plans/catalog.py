@@ -10,6 +10,7 @@ MODULES = [
     "lendspark.plans.q_features",
     "lendspark.plans.q_scoring",
     "lendspark.plans.q_audit",
+    "lendspark.plans.q_scorecard",
 ]
 
 
