@@ -43,8 +43,23 @@ def _range_buckets(hist: DataFrame, order: str, n_buckets: int, accuracy: int) -
 def cumulative_below(hist: DataFrame, keys: Sequence[str], order: str, measures: Sequence[str],
                      n_buckets: int = 256, accuracy: int = 20000) -> DataFrame:
     """Adds ``{m}_below`` (sum over strictly smaller ``order`` in the group) and
-    ``{m}_total`` for each measure. ``hist`` must be unique on keys + order."""
+    ``{m}_total`` for each measure. ``hist`` must be unique on keys + order.
+
+    ``n_buckets`` range buckets split every key group; use 1 only when the key
+    groups themselves bound the rows per window partition (e.g. one bootstrap
+    replicate of a histogram already known to be small)."""
     keys = list(keys)
+    if n_buckets <= 1:
+        if not keys:
+            raise ValueError("a single bucket needs key groups to partition the window")
+        w_keys = Window.partitionBy(*keys)
+        w_prev = w_keys.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        w_all = w_keys.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return hist.select(
+            *hist.columns,
+            *[F.coalesce(F.sum(m).over(w_prev), F.lit(0)).alias(f"{m}_below") for m in measures],
+            *[F.sum(m).over(w_all).alias(f"{m}_total") for m in measures],
+        )
     b = _range_buckets(hist, order, n_buckets, accuracy)
     per_bucket = b.groupBy(*keys, BUCKET).agg(*[F.sum(m).alias(f"_bk_{m}") for m in measures])
     w_keys = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
@@ -68,7 +83,7 @@ def cumulative_below(hist: DataFrame, keys: Sequence[str], order: str, measures:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
-                    n_buckets: int = 256) -> DataFrame:
+                    n_buckets: int = 64) -> DataFrame:
     """Exact linear-interpolation quantiles (numpy ``percentile`` / SQL
     ``quantile_cont``) per key group: rows (keys..., q_index, prob, quantile).
 

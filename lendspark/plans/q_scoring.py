@@ -26,6 +26,7 @@ PSI_FEATURES = ["amt_income_total", "credit_income_ratio", "annuity_income_ratio
                 "ext_source_3", "ext_source_mean", "age_years", "inst_late_ratio", "bb_dpd_ratio",
                 "cc_utilization_avg", "prev_refused_ratio"]
 SCENARIO_NAMES = ["baseline", "young_customers", "mild_recession", "severe_recession"]
+REPLICATES_Q = 2000          # bootstrap replicates, as in the reference
 
 
 def scored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,3 +458,70 @@ def q_single_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(F.broadcast(med.withColumn("_k", F.lit(1))), "_k", "left")       # one-row side
          .select(F.lit("ext_source_3").alias("model"), "target", (-F.coalesce(F.col("x"), F.col("m"))).alias("score")))
     return ranking.ranking_metrics(v, ["model"], "score", "target")
+
+
+# --- bootstrap (M16, M17) -------------------------------------------------------------
+
+def sql_boot_ctes(source: str, groups: str, replicates: int) -> str:
+    """Oracle: Poisson(1) weights from md5('<id>:<r>') by the same inverse CDF."""
+    from lendspark.operators.bootstrap import (HASH_A, HASH_B, HASH_C, HASH_D, HASH_E, HASH_PRIME, MAX_WEIGHT,
+                                               poisson1_cdf)
+
+    cdf = poisson1_cdf()
+    case = " ".join(f"WHEN u < CAST('{c!r}' AS DOUBLE) THEN {k}" for k, c in enumerate(cdf))
+    return f"""rw0 AS (
+  SELECT s.*, r.range AS replicate, (s.id % {HASH_PRIME} * {HASH_A} + (r.range + 1) * {HASH_B} + {HASH_C}) % {HASH_PRIME} AS x1
+  FROM {source} s, range({replicates}) r
+),
+rw AS (
+  SELECT * EXCLUDE (x1, x2, x3), CAST(x3 AS DOUBLE) / {float(HASH_PRIME)!r} AS u
+  FROM (SELECT *, (x2 * x2 + {HASH_E}) % {HASH_PRIME} AS x3 FROM (SELECT *, (x1 * x1 + {HASH_D}) % {HASH_PRIME} AS x2 FROM rw0))
+),
+rw2 AS (SELECT * EXCLUDE (u), CASE {case} ELSE {MAX_WEIGHT + 1} END AS w FROM rw),
+bh AS (
+  SELECT {groups}, replicate, score, sum(w * target) AS pos, sum(w * (1 - target)) AS neg
+  FROM rw2 GROUP BY {groups}, replicate, score
+),
+bc AS (
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY {groups}, replicate ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+         sum(pos) OVER (PARTITION BY {groups}, replicate) AS pt, sum(neg) OVER (PARTITION BY {groups}, replicate) AS nt
+  FROM bh
+),
+ba AS (
+  SELECT {groups}, replicate, CASE WHEN max(pt) > 0 AND max(nt) > 0 THEN sum(pos * (neg_below + neg * 0.5)) / (max(pt) * max(nt)) END AS auc
+  FROM bc GROUP BY {groups}, replicate
+)"""
+
+
+BOOT_SPLIT = "test"
+
+
+@query("auc_bootstrap", "M16", sql=lambda: sql_split_ctes() + f""",
+src AS (SELECT id, model, score, CAST(target AS DOUBLE) AS target FROM long WHERE split = '{BOOT_SPLIT}'),
+{sql_ranking('model', 'src')},
+{sql_boot_ctes('src', 'model', REPLICATES_Q)}
+SELECT m.model, m.auc, quantile_cont(ba.auc, 0.025) AS ci_low, quantile_cont(ba.auc, 0.975) AS ci_high, count(*) AS replicates
+FROM metrics m JOIN ba USING (model) WHERE ba.auc IS NOT NULL GROUP BY m.model, m.auc""")
+def q_auc_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendspark.operators.bootstrap import bootstrap_auc
+
+    long = scored_long(spark, sf_dir).where(F.col("split") == BOOT_SPLIT)
+    return bootstrap_auc(long, ["model"], "id", "score", "target", REPLICATES_Q)
+
+
+@query("paired_bootstrap", "M17", sql=lambda: sql_split_ctes() + f""",
+src AS (SELECT id, model, score, CAST(target AS DOUBLE) AS target FROM long WHERE split = '{BOOT_SPLIT}'),
+{sql_ranking('model', 'src')},
+{sql_boot_ctes('src', 'model', REPLICATES_Q)},
+d AS (SELECT replicate, max(CASE WHEN model = 'p_a' THEN auc END) - max(CASE WHEN model = 'p_b' THEN auc END) AS d
+      FROM ba GROUP BY replicate HAVING d IS NOT NULL)
+SELECT 'p_a' AS model_a, 'p_b' AS model_b,
+  (SELECT max(CASE WHEN model = 'p_a' THEN auc END) - max(CASE WHEN model = 'p_b' THEN auc END) FROM metrics) AS difference,
+  quantile_cont(d, 0.025) AS ci_low, quantile_cont(d, 0.975) AS ci_high,
+  least(1.0, 2 * least(avg(CAST(d <= 0 AS DOUBLE)), avg(CAST(d >= 0 AS DOUBLE)))) AS p_value, count(*) AS replicates
+FROM d""")
+def q_paired_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lendspark.operators.bootstrap import paired_difference
+
+    wide = scored_split(spark, sf_dir).where(F.col("split") == BOOT_SPLIT)
+    return paired_difference(wide, "id", "p_a", "p_b", "target", REPLICATES_Q)
