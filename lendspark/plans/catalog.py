@@ -11,6 +11,7 @@ MODULES = [
     "lendspark.plans.q_scoring",
     "lendspark.plans.q_audit",
     "lendspark.plans.q_scorecard",
+    "lendspark.plans.q_models",
 ]
 
 
