@@ -12,6 +12,7 @@ MODULES = [
     "lendspark.plans.q_audit",
     "lendspark.plans.q_scorecard",
     "lendspark.plans.q_models",
+    "lendspark.plans.q_stream",
 ]
 
 
