@@ -251,3 +251,28 @@ def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
         "iv_rank", F.row_number().over(Window.orderBy(F.desc("iv"), "feature"))).select("feature", "iv", "iv_rank")
     # both sides hold one row per model feature (bounded by the feature count)
     return imp.join(iv_rank, "feature", "left").withColumn("rank_change", F.col("iv_rank") - F.col("rank"))
+
+
+@query("data_quality", "M37,A20", sql=lambda: sql_customer_split() + f""",
+tr AS (SELECT * FROM msplit WHERE split = 'train'),
+rates AS (SELECT * FROM (SELECT {', '.join(f'avg(CAST({f} IS NULL AS DOUBLE)) AS {f}' for f in NUMERIC + CATEGORICAL)} FROM tr)
+          UNPIVOT (rate FOR feature IN ({', '.join(NUMERIC + CATEGORICAL)}))),
+checked AS (SELECT feature FROM rates WHERE rate < 0.02),
+cells AS (SELECT sk_id_curr, split, {', '.join(f'CAST({f} IS NULL AS INTEGER) AS {f}' for f in NUMERIC + CATEGORICAL)} FROM msplit),
+lc AS (SELECT * FROM cells UNPIVOT (is_null FOR feature IN ({', '.join(NUMERIC + CATEGORICAL)}))),
+per AS (SELECT sk_id_curr, split, CAST(coalesce(sum(CASE WHEN c.feature IS NOT NULL THEN is_null ELSE 0 END), 0) AS INTEGER) AS unexpected_nulls
+        FROM lc LEFT JOIN checked c USING (feature) GROUP BY sk_id_curr, split)
+SELECT sk_id_curr, split, unexpected_nulls,
+  CASE WHEN unexpected_nulls > 30 THEN 'low' WHEN unexpected_nulls > 8 THEN 'medium' ELSE 'high' END AS confidence
+FROM per""")
+def q_data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M37 in batch: per customer, NULLs in fields that training rarely leaves
+    empty (< 2 %) and the resulting confidence level."""
+    from lendspark.operators import quality
+
+    s, train, _ = binned_train(spark, sf_dir)
+    feats = NUMERIC + CATEGORICAL
+    rates = quality.missing_rates(train, feats).collect()          # one row per feature
+    checked = [r["column_name"] for r in rates if r["missing_rate"] < quality.RARE_NULL_RATE]
+    out = quality.confidence(s, checked)
+    return out.select("sk_id_curr", "split", F.size("unexpected_nulls").alias("unexpected_nulls"), "confidence")
