@@ -152,13 +152,26 @@ def present_double(c: str | Column, digits: int = 6) -> Column:
     return F.when((e >= 17) & ~F.isnan(c), c).otherwise(F.round(v, digits).cast("double"))
 
 
+def present_sql(name: str, digits: int = 6) -> str:
+    """SQL text of ``present_double`` for one column (parsed JVM-side in one
+    call, which keeps plan construction cheap for wide frames)."""
+    c = f"`{name}`"
+    e = f"floor(log10(abs({c})))"
+    p = f"pow(10.0D, {e})"
+    big = f"CAST(round(CAST({c} / {p} AS DECIMAL(38,17)), 11) AS DECIMAL(20,11)) * CAST({p} AS DECIMAL(17,0))"
+    v = (f"CASE WHEN isnan({c}) OR {c} IS NULL THEN NULL WHEN {c} = 0 THEN CAST(0 AS DECIMAL(38,12)) "
+         f"WHEN {e} >= 0 AND {e} < 17 THEN {big} WHEN {e} < 0 THEN CAST({c} AS DECIMAL(38,12)) END")
+    return (f"CASE WHEN {e} >= 17 AND NOT isnan({c}) THEN {c} "
+            f"ELSE CAST(round({v}, {digits}) AS DOUBLE) END AS `{name}`")
+
+
 def present(df, digits: int = 6):
     """Round every double column half-up (report presentation; also makes sums
     comparable across engines whose float summation order differs)."""
     out = []
     for f in df.schema.fields:
         if f.dataType.typeName() in ("double", "float"):
-            out.append(present_double(F.col(f.name), digits).alias(f.name))
+            out.append(present_sql(f.name, digits))
         else:
-            out.append(F.col(f.name))
-    return df.select(*out)
+            out.append(f"`{f.name}`")
+    return df.selectExpr(*out)
