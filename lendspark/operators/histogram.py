@@ -28,10 +28,26 @@ from pyspark.sql import functions as F
 BUCKET = "_range_bucket"
 
 
-def _range_buckets(hist: DataFrame, order: str, n_buckets: int, accuracy: int) -> DataFrame:
+ROWS_PER_BUCKET = 1_000_000     # target histogram rows per window partition
+MAX_BUCKETS = 200_000           # edges collected to the driver: ≤ 1.6 MB
+
+
+def _edges(hist: DataFrame, order: str, n_buckets: int, accuracy: int) -> tuple[int, list[float]]:
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = hist.agg(F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("e")).first()
+    row = hist.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx(F.col(order).cast("double"), probs, accuracy).alias("e")).first()
     edges = sorted({float(x) for x in (row["e"] or []) if x is not None and not math.isnan(x)})
+    return int(row["n"] or 0), edges
+
+
+def _range_buckets(hist: DataFrame, order: str, n_buckets: int, accuracy: int) -> DataFrame:
+    """Bucket the histogram by approximate quantiles of ``order``. The bucket
+    count grows with the histogram (one more pass only when the first guess
+    would leave more than ROWS_PER_BUCKET rows per bucket)."""
+    n_rows, edges = _edges(hist, order, n_buckets, accuracy)
+    wanted = min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET))
+    if wanted > n_buckets:
+        _, edges = _edges(hist, order, wanted, max(accuracy, 10 * wanted))
     if not edges:
         return hist.withColumn(BUCKET, F.lit(0.0))
     splits = [-math.inf] + edges + [math.inf]

@@ -5,8 +5,8 @@ round(test·n) are test, the next up to round((test+valid)·n) are validation,
 the rest train. Depends on ids only (never on row order or partitioning).
 
 Scalable rank: the first hex digits of the md5 give an order-preserving bucket
-(uniform, so every bucket has ~n/4096 rows whatever the label skew); bucket
-counts → offsets on a table of at most 2 × 4096 rows; the exact rank is offset
+(uniform, so every bucket has ~n/65536 rows whatever the label skew); bucket
+counts → offsets on a table of at most 2 × 65536 rows; the exact rank is offset
 + row number inside one (label, bucket).
 """
 from __future__ import annotations
@@ -20,7 +20,7 @@ SPLIT_NAMES = ("test", "validation", "train")
 
 
 def stratified_split(df: DataFrame, id_col: str, label: str, test: float = TEST_SHARE,
-                     valid: float = VALID_SHARE, prefix_hex: int = 3, out: str = "split") -> DataFrame:
+                     valid: float = VALID_SHARE, prefix_hex: int = 4, out: str = "split") -> DataFrame:
     h = F.md5(F.col(id_col).cast("string"))
     d = df.withColumn("_h", h).withColumn("_b", F.conv(F.substring("_h", 1, prefix_hex), 16, 10).cast("int"))
     counts = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_c"))
