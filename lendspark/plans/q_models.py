@@ -114,3 +114,38 @@ def q_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
             ("tree, all compliant features", auc_full, total, 1.0 if total else None),
             ("extra features", None, extra, share(extra))]
     return spark.createDataFrame(rows, "component string, auc double, auc_gain double, share double")
+
+
+@query("baseline_logit", "P23,M25,M6")
+def q_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hand-picked features, median fill + indicators + scaling, logistic;
+    ranking quality per split."""
+    s, _, _ = tree_inputs(spark, sf_dir)
+    model = trees.fit_baseline(s.where(F.col("split") == "train"), "target")
+    return ranking.ranking_metrics(trees.predict_baseline(model, s), ["split"], "baseline_probability", "target")
+
+
+@query("model_comparison", "U2,M6,M29")
+def q_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One validation-metrics row per model — single variable, baseline
+    logistic, scorecard, tree challenger — appended by ``unionByName``."""
+    from lendspark.plans.q_scorecard import fit_scorecard
+
+    s, numeric, categorical = tree_inputs(spark, sf_dir)
+    valid = s.where(F.col("split") == "validation")
+    med = exact_quantiles(s.where(F.col("split") == "train"), "ext_source_mean", [0.5]).first()["quantile"]
+    single = valid.select("target", (-F.coalesce(F.col("ext_source_mean"), F.lit(med))).alias("score"))
+    base = trees.predict_baseline(trees.fit_baseline(s.where(F.col("split") == "train"), "target"), valid) \
+        .select("target", F.col("baseline_probability").alias("score"))
+    card = fit_scorecard(spark, sf_dir)
+    cs = sc.score_columns(card.frame.where(F.col("split") == "validation"), card.intercept, card.coefs) \
+        .select("target", F.col("probability").alias("score"))
+    tree = trees.predict(fit_challenger(s, numeric, categorical), valid, numeric, categorical) \
+        .select("target", F.col("tree_probability").alias("score"))
+    parts = [("single variable: ext_source_mean", single), ("baseline logistic, 10 features", base),
+             (f"scorecard, {len(card.kept)} features", cs), ("boosted trees", tree)]
+    out = None
+    for name, d in parts:
+        m = ranking.ranking_metrics(d.withColumn("model", F.lit(name)), ["model"], "score", "target")
+        out = m if out is None else out.unionByName(m)
+    return out

@@ -525,3 +525,34 @@ def q_paired_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     wide = scored_split(spark, sf_dir).where(F.col("split") == BOOT_SPLIT)
     return paired_difference(wide, "id", "p_a", "p_b", "target", REPLICATES_Q)
+
+
+# --- Q7 extremes, Q8 fixed-seed sample -------------------------------------------------
+
+SAMPLE_ROWS = 200
+
+
+@query("extreme_scores", "Q7", sql=lambda: sql_portfolio_ctes() + """
+SELECT split, arg_max(id, (probability, -id)) AS riskiest_id, max(probability) AS max_probability,
+       arg_min(id, (probability, id)) AS safest_id, min(probability) AS min_probability
+FROM portfolio GROUP BY split""")
+def q_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q7: the riskiest and the safest application per split (ties → lowest id)."""
+    p = portfolio(spark, sf_dir)
+    return p.groupBy("split").agg(
+        F.max_by("id", F.struct(F.col("probability"), (-F.col("id")).alias("n"))).alias("riskiest_id"),
+        F.max("probability").alias("max_probability"),
+        F.min_by("id", F.struct(F.col("probability"), F.col("id"))).alias("safest_id"),
+        F.min("probability").alias("min_probability"),
+    )
+
+
+@query("explain_sample", "Q8,Q1,S3", sql=lambda: sql_portfolio_ctes() + f"""
+SELECT id, split, probability, decision FROM portfolio WHERE split = 'test'
+ORDER BY md5(CAST(id AS VARCHAR)), id LIMIT {SAMPLE_ROWS}""")
+def q_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q8: a reproducible sample of the test portfolio — the first n rows in
+    md5(id) order (a distributed top-k; the limit is the feature)."""
+    p = portfolio(spark, sf_dir).where(F.col("split") == "test")
+    return p.orderBy(F.md5(F.col("id").cast("string")), "id").limit(SAMPLE_ROWS).select(
+        "id", "split", "probability", "decision")
