@@ -7,8 +7,9 @@
   long form.
 * WOE = ln(good share / bad share) with 0.5 added to each bin count (keeps
   empty cells finite); IV = Σ (good share − bad share) · WOE; JS divergence.
-* Optional monotone merge of adjacent numeric bins runs per feature on the
-  small bin table (``applyInPandas``, ≤ 11 rows per group).
+* Monotone merge of adjacent numeric bins, then a ChiMerge step (adjacent bins
+  whose event rates do not differ significantly are merged), runs per feature
+  on the small bin table (``applyInPandas``, ≤ 11 rows per group).
 * The WOE transform is pure column expressions generated from the (bounded)
   bin table — no join, no shuffle.
 * Correlation pruning uses ``ml.stat.Correlation`` (one pass, k×k matrix) and a
@@ -157,12 +158,54 @@ def _merge_monotone(pdf: pd.DataFrame) -> pd.DataFrame:
                     del rows[i + 1]
                     changed = True
                     break
+        rows = _chi_merge(rows)
         num = pd.DataFrame(rows)
         num["bin"] = [f"q{i + 1:02d}" for i in range(len(num))]
-    out = pd.concat([num[cols], rest[cols]], ignore_index=True)
+    cat = rest[rest["bin"].str.startswith("=")].copy()
+    miss = rest[~rest["bin"].str.startswith("=")]
+    if len(cat) > 1:
+        cat["_rate"] = cat["bad"] / cat["n"]
+        rows = _chi_merge(cat.sort_values(["_rate", "bin"]).drop(columns="_rate").to_dict("records"), LEVEL_SEP)
+        cat = pd.DataFrame(rows)
+    out = pd.concat([num[cols], cat[cols], miss[cols]], ignore_index=True)
     return out.astype({"n": "int64", "good": "int64", "bad": "int64"})
 
 
+CHI2_CRITICAL = 3.841458820694124     # 2x2 table, 1 degree of freedom, p = 0.05
+
+
+def _chi2(a: dict, b: dict) -> float:
+    """Pearson chi-square of the 2x2 (bin × good/bad) table of two bins."""
+    obs = np.array([[a["good"], a["bad"]], [b["good"], b["bad"]]], dtype=float)
+    tot = obs.sum()
+    if tot == 0:
+        return 0.0
+    exp = obs.sum(axis=1, keepdims=True) * obs.sum(axis=0, keepdims=True) / tot
+    with np.errstate(divide="ignore", invalid="ignore"):
+        terms = np.where(exp > 0, (obs - exp) ** 2 / exp, 0.0)
+    return float(terms.sum())
+
+
+LEVEL_SEP = "|"      # merged categorical bins are written '=level1|level2|...'
+
+
+def _chi_merge(rows: list[dict], level_sep: str | None = None) -> list[dict]:
+    """Merge the adjacent pair whose event rates differ least (smallest chi2)
+    while that difference is not significant. Categorical bins (``level_sep``
+    given) concatenate their level lists."""
+    while len(rows) > 1:
+        stats = [_chi2(rows[i], rows[i + 1]) for i in range(len(rows) - 1)]
+        i = int(np.argmin(stats))
+        if stats[i] >= CHI2_CRITICAL:
+            break
+        a, b = rows[i], rows[i + 1]
+        label = a["bin"] + level_sep + b["bin"][1:] if level_sep else a["bin"]
+        rows[i] = {"feature": a["feature"], "bin": label, "n": a["n"] + b["n"], "good": a["good"] + b["good"],
+                   "bad": a["bad"] + b["bad"], "lower": a["lower"], "upper": b["upper"]}
+        del rows[i + 1]
+    return rows
+
+
 def merged_bins(woe: DataFrame) -> DataFrame:
     """Monotone version of the bin table (per-feature pandas on ≤ 11 rows)."""
     small = woe.select("feature", "bin", "n", "good", "bad", "lower", "upper")
@@ -200,7 +243,8 @@ class BinMap:
             return expr
         for r in rows:
             if r["bin"].startswith("="):
-                expr = expr.when(c.cast("string") == F.lit(r["bin"][1:]), F.lit(float(r["woe"])))
+                levels = r["bin"][1:].split(LEVEL_SEP)
+                expr = expr.when(c.cast("string").isin(*levels), F.lit(float(r["woe"])))
         return expr.otherwise(F.lit(0.0))
 
     def transform(self, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -64,10 +64,11 @@ def fit_scorecard(spark: SparkSession, sf_dir: str) -> FittedScorecard:
     fair.compliance_gate(NUMERIC + CATEGORICAL)                         # M38
     s, train, edges = binned_train(spark, sf_dir)
     pre = sc.woe_table(sc.assign_bins(train, NUMERIC, CATEGORICAL, edges, "sk_id_curr", "target"), "target")
-    ivs = sc.iv_summary(pre)
-    # merge to monotone event rate, then recompute WOE on the merged counts
+    # merge to monotone event rate, recompute WOE on the merged counts, and
+    # select on the merged IV (noise collapses to one or two bins, IV ≈ 0)
     merged = sc.merged_bins(pre)
     bins = _woe_from_counts(merged)
+    ivs = sc.iv_summary(bins.withColumn("js", F.lit(None).cast("double")))
     selected = [r["feature"] for r in ivs.where("selected").orderBy(F.desc("iv"), "feature").collect()]
     bmap = sc.BinMap.collect(bins)
     frame = bmap.transform(s, [f for f in NUMERIC if f in selected], [f for f in CATEGORICAL if f in selected],
