@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendspark.functions.exprs import band, money_sum, round_half_up, text_or_nan
-from lendspark.operators.histogram import attach_edges, qcut_index, quantile_edges
+from lendspark.operators.histogram import attach_edges, exact_quantiles, qcut_index, quantile_edges
 from lendspark.operators.profit import LGD, MARGIN, realised_profit
 
 # Fixed band definitions (edges and labels).
@@ -57,9 +57,19 @@ def scored_portfolio(scored: DataFrame, applicants: DataFrame, score: str, thres
     )
     p = F.col(score).cast("double")
     d = scored.join(a, "sk_id_curr", "left").withColumn("_p", p)
-    edges = quantile_edges(d, "_p", 10)
-    d = attach_edges(d, edges).withColumn("risk_decile", qcut_index("_p", "edges")).drop("edges")
-    d = labelled_qcut(d, "amt_income_total", INCOME_BAND_LABELS, "income_band")
+    # one exact-quantile pass for both banded columns: quintile probabilities
+    # are a subset of the decile ones (bounded result: 2 × 11 values)
+    deciles = [i / 10 for i in range(11)]
+    long = d.select(F.col("_p").alias("_pv"), F.col("amt_income_total").cast("double").alias("_iv")).unpivot(
+        [], ["_pv", "_iv"], "_f", "_v")
+    q = exact_quantiles(long, "_v", deciles, ["_f"]).collect()
+    p_edges = sorted({r["quantile"] for r in q if r["_f"] == "_pv"})
+    inc_edges = sorted({r["quantile"] for r in q if r["_f"] == "_iv" and r["q_index"] % 2 == 0})
+    d = d.withColumn("edges", F.array(*[F.lit(float(x)) for x in p_edges]).cast("array<double>"))
+    d = d.withColumn("risk_decile", qcut_index("_p", "edges"))
+    d = d.withColumn("edges", F.array(*[F.lit(float(x)) for x in inc_edges]).cast("array<double>"))
+    lab = F.element_at(F.array(*[F.lit(x) for x in INCOME_BAND_LABELS]), qcut_index("amt_income_total", "edges"))
+    d = d.withColumn("income_band", F.when(F.col("amt_income_total").isNull(), F.lit("nan")).otherwise(lab)).drop("edges")
     approved = F.col("_p") < F.lit(threshold)
     out = d.select(
         "id", "sk_id_curr", "split",

@@ -135,7 +135,11 @@ def q_policy_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stratified_split(build_model_input(spark, sf_dir), "sk_id_curr", "target")
+    """Model input with its split, materialised once (re-read by every pass)."""
+    from lendspark.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return stratified_split(build_model_input(spark, sf_dir), "sk_id_curr", "target").checkpoint()
 
 
 def sql_customer_split() -> str:

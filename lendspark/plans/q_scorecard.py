@@ -32,7 +32,7 @@ REASONS = 3
 
 def binned_train(spark: SparkSession, sf_dir: str):
     ensure_checkpoint_dir(spark)
-    s = customer_split(spark, sf_dir).checkpoint()      # re-read by every fit step
+    s = customer_split(spark, sf_dir)      # re-read by every fit step
     train = s.where(F.col("split") == "train")
     edges = sc.prebin_edges(train, NUMERIC, "sk_id_curr", "target")
     return s, train, edges

@@ -17,6 +17,7 @@ from lendspark.operators.split import stratified_split
 from lendspark.plans.oracle import fx, r
 from lendspark.plans.q_features import build_model_input
 from lendspark.plans.registry import query
+from lendspark.session import ensure_checkpoint_dir
 from lendspark.sources import fixtures
 
 MODELS = ["p_a", "p_b"]
@@ -30,7 +31,12 @@ REPLICATES_Q = 2000          # bootstrap replicates, as in the reference
 
 
 def scored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stratified_split(fixtures.load(spark, sf_dir, "scored"), "id", "target")
+    """Scored applications with their split, materialised once in the shared
+    checkpoint folder: the multi-pass statistics downstream (quantile edges,
+    binning, both PSI sides) then re-read it instead of re-running the join
+    and the split windows each time."""
+    ensure_checkpoint_dir(spark)
+    return stratified_split(fixtures.load(spark, sf_dir, "scored"), "id", "target").checkpoint()
 
 
 def scored_long(spark: SparkSession, sf_dir: str) -> DataFrame:
