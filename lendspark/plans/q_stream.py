@@ -64,7 +64,26 @@ def drift_reference(spark: SparkSession, sf_dir: str):
     return edges, shares
 
 
-@query("stream_psi", "R2,M13,M14")
+def sql_stream_psi() -> str:
+    from lendspark.plans.q_scoring import deciles, sql_verdict
+
+    probs = ", ".join(repr(p) for p in deciles(10))
+    return f"""WITH ev AS (SELECT * FROM events WHERE value IS NOT NULL AND NOT isnan(value)),
+ref AS (SELECT * FROM ev WHERE ts < TIMESTAMP '{REFERENCE_END}'),
+pe AS (SELECT list_sort(list_distinct(quantile_cont(value, [{probs}]))) AS edges FROM ref),
+rc AS (SELECT len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin, count(*) AS c FROM ref, pe GROUP BY 1),
+bins AS (SELECT CAST(unnest(range(0, len(edges) - 1)) AS BIGINT) AS bin FROM pe),
+rs AS (SELECT bins.bin, CAST(coalesce(c, 0) AS DOUBLE) / sum(coalesce(c, 0)) OVER () AS r_share FROM bins LEFT JOIN rc USING (bin)),
+yc AS (SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, len(list_filter(edges[2:len(edges) - 1], lambda e: e <= value)) AS bin,
+              count(*) AS n FROM ev, pe GROUP BY 1, 2),
+yn AS (SELECT day, sum(n) AS y_n FROM yc GROUP BY day),
+fl AS (SELECT yn.day, yn.y_n, rs.bin, rs.r_share, coalesce(yc.n, 0) AS n FROM yn CROSS JOIN rs LEFT JOIN yc ON yc.day = yn.day AND yc.bin = rs.bin),
+ps AS (SELECT day, y_n, sum((greatest(n / y_n, 1e-6) - greatest(r_share, 1e-6)) * ln(greatest(n / y_n, 1e-6) / greatest(r_share, 1e-6))) AS psi
+       FROM fl GROUP BY day, y_n)
+SELECT day AS window_start, CAST(y_n AS BIGINT) AS rows, psi, {sql_verdict()} AS verdict FROM ps"""
+
+
+@query("stream_psi", "R2,M13,M14", sql=sql_stream_psi)
 def q_stream_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, shares = drift_reference(spark, sf_dir)
     counts = st.drift_counts(st.read_event_stream(spark, _events_path(sf_dir)), edges)

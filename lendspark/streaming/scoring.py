@@ -121,5 +121,5 @@ def window_psi(counts: DataFrame, reference_shares: DataFrame) -> DataFrame:
     ys = F.greatest(F.coalesce(F.col("n"), F.lit(0)) / F.col("y_n"), F.lit(SHARE_FLOOR))
     rs = F.greatest(F.col("r_share"), F.lit(SHARE_FLOOR))
     out = full.groupBy("w", "y_n").agg(F.sum((ys - rs) * F.log(ys / rs)).alias("psi"))
-    return out.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+    return out.select(F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("window_start"),
                       F.col("y_n").alias("rows"), "psi", verdict("psi").alias("verdict"))
