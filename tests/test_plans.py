@@ -26,8 +26,9 @@ def test_ranking_plan_has_no_single_partition_on_rows(spark):
     df = E.queries()["ranking_metrics"](spark, SF001)
     text = df._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in text.splitlines() if "Window [" in line]
-    assert windows
-    # every window over histogram rows is partitioned by model AND range bucket;
-    # the only model-only windows run over the bounded per-bucket table
-    row_windows = [w for w in windows if "_range_bucket" in w and "rowsbetween" in w.lower()]
-    assert any("[model" in w.split("]")[-2] or "model" in w.split("windowspecdefinition(")[-1] for w in row_windows)
+    # the window over histogram rows is partitioned by (model, range bucket);
+    # the model-only windows run over the bounded per-bucket table (_bk_*)
+    row_level = [w for w in windows if "sum(pos#" in w]
+    assert row_level and all("windowspecdefinition(model#" in w and "_range_bucket#" in w.split("AS _we0")[0]
+                             for w in row_level)
+    assert all("_bk_" in w for w in windows if w not in row_level)
