@@ -5,9 +5,9 @@ drawn by inverse CDF from a uniform made by an integer hash of (id, r). Weights
 on ids only (not on order or partitioning), are reproducible, and the same
 weights serve every score column, which makes the paired test paired.
 
-Each row is expanded to its replicates inside the task and immediately
-reduced to a weighted (replicate, score) histogram by the map-side partial
-aggregate. AUCs per replicate then
+Base rows are partitioned once by (group, score, salt); each row is expanded
+to its replicates inside its task and reduced there (no exchange) to a weighted
+histogram; only per-salt partial sums are shuffled. AUCs per replicate then
 come from the same two-phase cumulative histogram as the point estimate.
 """
 from __future__ import annotations
@@ -103,13 +103,62 @@ def weighted_auc(df: DataFrame, groups: Sequence[str], score: str, label: str, w
                                       F.col("_num") / (F.col("_p") * F.col("_n"))).alias("auc"))
 
 
+ROWS_PER_TASK = 50_000_000      # generated (row, replicate) pairs one hot cell may put on one task
+
+
+def replicate_histogram(df: DataFrame, groups: Sequence[str], id_col: str, score: str, label: str,
+                        replicates: int = REPLICATES) -> DataFrame:
+    """Weighted (groups, replicate, score) histogram of all replicates.
+
+    The base rows are hash-partitioned ONCE by (groups, score); the replicate
+    expansion and the aggregation by (groups, replicate, score) then run inside
+    those tasks with no further exchange (the partitioning already clusters the
+    keys), so only base rows cross the network. A hot score cell (measured once)
+    is salted by a hash of the id over as many tasks as needed to keep each
+    below ROWS_PER_TASK expanded rows; the per-salt sums are then combined in a
+    second, small aggregation."""
+    groups = list(groups)
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    s_col = F.col(score).cast("double")
+    hottest = df.groupBy(*groups, s_col.alias("_s")).count().agg(F.max("count")).first()[0] or 0   # one value
+    salts = max(1, math.ceil(hottest * replicates / ROWS_PER_TASK))
+    base = df.select(*groups, id_col, s_col.alias("_s"), F.col(label).cast("double").alias("_y"),
+                     F.pmod(F.xxhash64(id_col), F.lit(salts)).alias("_salt"))
+    keys = [*groups, "_s"] + (["_salt"] if salts > 1 else [])
+    base = base.repartition(parts, *keys)
+    d = base.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
+    d = d.withColumn("_u", uniform_hash(id_col, F.col("replicate")))
+    d = d.withColumn("w", poisson_weight(F.col("_u")).cast("double"))
+    lvl1 = d.groupBy(*groups, "replicate", *keys[len(groups):]).agg(
+        F.sum(F.col("w") * F.col("_y")).alias("pos"), F.sum(F.col("w") * (F.lit(1.0) - F.col("_y"))).alias("neg"))
+    if salts == 1:
+        return lvl1
+    return lvl1.groupBy(*groups, "replicate", "_s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def auc_from_histogram(hist: DataFrame, groups: Sequence[str], n_buckets: int) -> DataFrame:
+    cum = cumulative_below(hist, list(groups), "_s", ["pos", "neg"], n_buckets=n_buckets)
+    auc = cum.groupBy(*groups).agg(
+        F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("_num"),
+        F.max("pos_total").alias("_p"), F.max("neg_total").alias("_n"))
+    return auc.select(*groups, F.when((F.col("_p") > 0) & (F.col("_n") > 0),
+                                      F.col("_num") / (F.col("_p") * F.col("_n"))).alias("auc"))
+
+
+def replicate_aucs(df: DataFrame, groups: Sequence[str], id_col: str, score: str, label: str,
+                   replicates: int = REPLICATES) -> DataFrame:
+    nb = buckets_for(df, score)
+    hist = replicate_histogram(df, groups, id_col, score, label, replicates)
+    return auc_from_histogram(hist, [*groups, "replicate"], nb)
+
+
 def bootstrap_auc(df: DataFrame, groups: Sequence[str], id_col: str, score: str, label: str,
                   replicates: int = REPLICATES) -> DataFrame:
     """Per group the AUC and its 95 % percentile interval."""
     groups = list(groups)
     point = weighted_auc(df, groups, score, label)
-    nb = buckets_for(df, score)
-    reps = weighted_auc(replicate_weights(df, id_col, replicates), [*groups, "replicate"], score, label, "w", nb)
+    reps = replicate_aucs(df, groups, id_col, score, label, replicates)
     # one small row per (group, replicate): materialise once (lineage cut in
     # the shared checkpoint folder) instead of recomputing the expansion
     reps = reps.where(F.col("auc").isNotNull()).checkpoint()
@@ -128,9 +177,7 @@ def paired_difference(df: DataFrame, id_col: str, score_a: str, score_b: str, la
     p = min(1, 2·min(P(d ≤ 0), P(d ≥ 0))). ``df`` is wide (both scores per row)."""
     long = df.select(id_col, label, score_a, score_b).unpivot([id_col, label], [score_a, score_b], "model", "score")
     point = weighted_auc(long, ["model"], "score", label)
-    nb = buckets_for(long, "score")
-    reps = weighted_auc(replicate_weights(long, id_col, replicates), ["model", "replicate"], "score", label, "w", nb)
-    reps = reps.checkpoint()
+    reps = replicate_aucs(long, ["model"], id_col, "score", label, replicates).checkpoint()
     d = reps.groupBy("replicate").agg(
         (F.max(F.when(F.col("model") == score_a, F.col("auc"))) - F.max(F.when(F.col("model") == score_b, F.col("auc"))))
         .alias("d")).where(F.col("d").isNotNull()).withColumn("_k", F.lit(1))
