@@ -152,11 +152,12 @@ def present_double(c: str | Column, digits: int = 6) -> Column:
     return F.when((e >= 17) & ~F.isnan(c), c).otherwise(F.round(v, digits).cast("double"))
 
 
-def present_sql(name: str, digits: int = 6) -> str:
+def present_sql(name: str, digits: int = 6, exponent: str | None = None) -> str:
     """SQL text of ``present_double`` for one column (parsed JVM-side in one
-    call, which keeps plan construction cheap for wide frames)."""
+    call, which keeps plan construction cheap for wide frames). ``exponent``
+    names a column already holding floor(log10(|x|))."""
     c = f"`{name}`"
-    e = f"floor(log10(abs({c})))"
+    e = f"`{exponent}`" if exponent else f"floor(log10(abs({c})))"
     p = f"pow(10.0D, {e})"
     big = f"CAST(round(CAST({c} / {p} AS DECIMAL(38,17)), 11) AS DECIMAL(20,11)) * CAST({p} AS DECIMAL(17,0))"
     v = (f"CASE WHEN isnan({c}) OR {c} IS NULL THEN NULL WHEN {c} = 0 THEN CAST(0 AS DECIMAL(38,12)) "
@@ -167,11 +168,12 @@ def present_sql(name: str, digits: int = 6) -> str:
 
 def present(df, digits: int = 6):
     """Round every double column half-up (report presentation; also makes sums
-    comparable across engines whose float summation order differs)."""
-    out = []
-    for f in df.schema.fields:
-        if f.dataType.typeName() in ("double", "float"):
-            out.append(present_sql(f.name, digits))
-        else:
-            out.append(f"`{f.name}`")
-    return df.selectExpr(*out)
+    comparable across engines whose float summation order differs). The
+    decimal exponent of each double is computed once in a first projection."""
+    doubles = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    if not doubles:
+        return df
+    exps = {n: f"__exp_{i}" for i, n in enumerate(doubles)}
+    staged = df.selectExpr("*", *[f"floor(log10(abs(`{n}`))) AS `{e}`" for n, e in exps.items()])
+    out = [present_sql(f.name, digits, exps[f.name]) if f.name in exps else f"`{f.name}`" for f in df.schema.fields]
+    return staged.selectExpr(*out)
