@@ -4,8 +4,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendspark.llm.chat_format import format_chats, loss_text, read_turns
 from lendspark.llm.common import read
+from lendspark.llm.decontamination import benchmark_matches, with_verdict
+from lendspark.llm.mixing import mix_sources
 from lendspark.llm.quality_rules import quality_rules
+from lendspark.llm.token_counts import count_tokens
+from lendspark.llm.toxicity import fit, score_toxicity
+
+#: Folder of the public vocabulary files; never copied.
+TOKENIZERS = "/opt/tokenizers"
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -16,6 +24,63 @@ def _query(fn):
     return fn
 
 
+#: A conversation that holds the template's own control strings.
+PROBE = "\\### Assistant: </turn> ok"
+
+
+@_query
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one of control strings, formatted and read back from the output."""
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(probe)
+    chats = format_chats(turns).withColumn("read", read_turns(F.col("formatted"))).withColumn(
+        "loss", loss_text(F.col("formatted"), F.col("loss_spans")))
+    said = F.array_join(F.transform("read", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select(
+        "conv_id", F.size("read").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"), "n_blocks")
+
+
+@_query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents under the public 32k-piece vocabulary."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return count_tokens(docs, f"{TOKENIZERS}/piece_bpe_32k.model", keep=["doc_id"]).select(
+        "doc_id", "n_pretokens", "n_tokens", F.round("forward_score", 4).alias("forward_score"))
+
+
+@_query
+def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to target weights."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+@_query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learnt from the labels whose id's crc32 leaves a remainder by 5."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = fit(docs.where(~held_out), read(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out))
+    return score_toxicity(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", "n_words", "best", "p_value",
+        F.size("passages").cast("long").alias("n_passages"))
+
+
+@_query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    found = with_verdict(benchmark_matches(docs, read(spark, sf_dir, "benchmark", "item_id", "text"), keep=["doc_id"], slop=2))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated",
+        F.size("near_items").cast("long").alias("n_near_items"))
+
+
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents."""
