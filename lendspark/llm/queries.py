@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from lendspark.llm.chat_format import format_chats, loss_text, read_turns
 from lendspark.llm.common import read
 from lendspark.llm.decontamination import benchmark_matches, with_verdict
+from lendspark.llm.html_extract import extract_main_text
 from lendspark.llm.mixing import mix_sources
+from lendspark.llm.ngram_join import jaccard_classes
 from lendspark.llm.quality_rules import quality_rules
 from lendspark.llm.token_counts import count_tokens
 from lendspark.llm.toxicity import fit, score_toxicity
@@ -52,6 +54,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_pretokens", "n_tokens", F.round("forward_score", 4).alias("forward_score"))
 
 
+@_query
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy classes of all documents."""
+    return jaccard_classes(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 @_query
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to target weights."""
@@ -81,6 +89,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("near_items").cast("long").alias("n_near_items"))
 
 
+@_query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    texts = extract_main_text(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 @_query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents."""
