@@ -8,6 +8,7 @@ from lendspark.llm.chat_format import format_chats, loss_text, read_turns
 from lendspark.llm.common import read
 from lendspark.llm.decontamination import benchmark_matches, with_verdict
 from lendspark.llm.html_extract import extract_main_text
+from lendspark.llm.language_model import score_documents
 from lendspark.llm.line_dedup import LAST, removed_lines
 from lendspark.llm.mixing import mix_sources
 from lendspark.llm.ngram_join import jaccard_classes
@@ -47,6 +48,13 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length("formatted").cast("long").alias("formatted_chars"), "n_blocks")
 
 
+@_query
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model learnt from those whose id's crc32 does not leave 2 by 7."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return score_documents(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 @_query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents under the public 32k-piece vocabulary."""
