@@ -158,9 +158,10 @@ def attach_edges(df: DataFrame, edges: DataFrame, keys: Sequence[str] = ()) -> D
 
 def qcut_index(value: str, edges: str = "edges") -> F.Column:
     """Equal-frequency bucket (1-based) with right-closed bins, lowest edge
-    included: 1 + number of inner edges strictly below the value."""
+    included: 1 + number of inner edges strictly below the value; NULL for a
+    NULL value."""
     inner = F.slice(F.col(edges), 2, F.greatest(F.size(edges) - 2, F.lit(0)))
-    return F.lit(1) + F.size(F.filter(inner, lambda e: e < F.col(value)))
+    return F.when(F.col(value).isNotNull(), F.lit(1) + F.size(F.filter(inner, lambda e: e < F.col(value))))
 
 
 def histogram_bin(value: str, edges: str = "edges") -> F.Column:

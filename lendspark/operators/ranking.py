@@ -53,8 +53,10 @@ def ranking_metrics(df: DataFrame, groups: Sequence[str], score: str, label: str
 
 def lift_table(df: DataFrame, groups: Sequence[str], score: str, label: str, n_bins: int = 10) -> DataFrame:
     """M7: equal-frequency score buckets (interpolated quantile edges, duplicate
-    edges dropped, right-closed): customers, defaults, rate %, lift, mean score."""
+    edges dropped, right-closed): customers, defaults, rate %, lift, mean score.
+    Rows without a score are in no bucket."""
     groups = list(groups)
+    df = df.where(F.col(score).isNotNull())
     edges = quantile_edges(df, score, n_bins, groups)
     d = attach_edges(df, edges, groups).withColumn("bucket", qcut_index(score, "edges") - 1)
     overall = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
@@ -77,8 +79,9 @@ def calibration_curve(df: DataFrame, groups: Sequence[str], score: str, label: s
     """M8: quantile calibration bins (edges at interpolated percentiles, kept
     with duplicates; inner edges right-closed; empty bins dropped): per bin the
     mean prediction, observed rate and their absolute gap, plus the mean and
-    max gap of the group."""
+    max gap of the group. Rows without a score are in no bin."""
     groups = list(groups)
+    df = df.where(F.col(score).isNotNull())
     probs = [i / n_bins for i in range(n_bins + 1)]
     q = exact_quantiles(df, score, probs, groups)
     edges = q.groupBy(*groups).agg(F.array_sort(F.collect_list("quantile")).alias("edges"))

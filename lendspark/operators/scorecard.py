@@ -186,7 +186,7 @@ def _chi2(a: dict, b: dict) -> float:
     return float(terms.sum())
 
 
-LEVEL_SEP = "|"      # merged categorical bins are written '=level1|level2|...'
+LEVEL_SEP = "\x1f"      # unit separator between the levels of a merged categorical bin, after '='
 
 
 def _chi_merge(rows: list[dict], level_sep: str | None = None) -> list[dict]:

@@ -66,13 +66,14 @@ def q_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = []
     for attr in fair.TIER_1:
         if dict(s.dtypes)[attr] == "string":
-            top = train.groupBy(attr).count().orderBy(F.desc("count"), attr).first()     # one row
-            rule_value = top[attr]
-            target = (F.coalesce(F.col(attr), F.lit("nan")) == F.lit(rule_value)).cast("int")
+            spelled = F.coalesce(F.col(attr), F.lit("nan"))       # NULL is a level of its own
+            top = train.groupBy(spelled.alias("level")).count().orderBy(F.desc("count"), "level").first()     # one row
+            rule_value = top["level"]
+            target = (spelled == F.lit(rule_value)).cast("int")
             rule = f"equals mode '{rule_value}'"
         else:
             med = exact_quantiles(train, attr, [0.5]).first()["quantile"]              # one value
-            target = (F.col(attr) > F.lit(med)).cast("int")
+            target = F.coalesce(F.col(attr) > F.lit(med), F.lit(False)).cast("int")   # NULL is not above
             rule = f"above median {med:g}"
         tr = train.withColumn("_t", target)
         if tr.select("_t").distinct().count() < 2:

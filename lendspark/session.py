@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -30,14 +31,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (local tests)
-    fall back to a fresh scratch folder."""
+    """The cluster's ``spark.checkpoint.dir``. Only a local session (tests, bench) without one gets a fresh scratch
+    folder; on a cluster a folder of one machine would lose every other machine's files, so there it is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lendspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

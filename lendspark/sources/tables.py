@@ -31,16 +31,20 @@ def sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
 
 # --- S1/S2: CSV ingest ---------------------------------------------------------
 
-_NON_ALNUM = re.compile(r"[^0-9a-z]+")
+_NOT_NAME = re.compile(r"[^\w]")
 
 
 def normalise_name(name: str) -> str:
-    """Lower-case, every run of non-alphanumerics → '_', trimmed; leading digit prefixed."""
-    out = _NON_ALNUM.sub("_", name.strip().lower()).strip("_")
-    if not out:
-        out = "col"
-    if out[0].isdigit():
-        out = "c_" + out
+    """Trimmed and lower-cased; every character that is no letter, digit or '_' becomes one '_'."""
+    return _NOT_NAME.sub("_", name.strip().lower())
+
+
+def normalise_names(names: list[str]) -> list[str]:
+    """Normalised header names; two headers that become one name are an error."""
+    out = [normalise_name(n) for n in names]
+    twice = sorted({n for n in out if out.count(n) > 1})
+    if twice:
+        raise ValueError(f"headers that normalise to one name: {twice}")
     return out
 
 
@@ -60,8 +64,8 @@ def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.0
     normalise the column names. Run once; commit the result as code."""
     probe = (spark.read.option("header", True).option("inferSchema", True)
              .option("samplingRatio", sampling_ratio).option("nullValue", "").csv(path))
-    return T.StructType([T.StructField(normalise_name(f.name), widen(f.dataType), True)
-                         for f in probe.schema.fields])
+    names = normalise_names(probe.columns)
+    return T.StructType([T.StructField(n, widen(f.dataType), True) for n, f in zip(names, probe.schema.fields)])
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

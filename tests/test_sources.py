@@ -11,8 +11,11 @@ from lendspark.sources import tables
 
 
 def test_normalise_and_widen():
-    assert tables.normalise_name(" AMT Credit-Sum (%) ") == "amt_credit_sum"
-    assert tables.normalise_name("1st flag") == "c_1st_flag"
+    assert tables.normalise_name(" AMT Credit-Sum (%) ") == "amt_credit_sum____"
+    assert tables.normalise_name("1st flag") == "1st_flag"
+    assert tables.normalise_name("Şube Adı") == "şube_adı"
+    with pytest.raises(ValueError):
+        tables.normalise_names(["a b", "A-B"])
     assert isinstance(tables.widen(T.IntegerType()), T.LongType)
     assert isinstance(tables.widen(T.FloatType()), T.DoubleType)
     assert isinstance(tables.widen(T.DateType()), T.StringType)
