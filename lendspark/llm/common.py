@@ -22,8 +22,16 @@ def let(value: Column, body) -> Column:
 
 
 def long_array(values) -> Column:
-    """A constant array of whole numbers; the optimiser folds it into one literal."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    """A constant array of whole numbers (or of the text of a list); the optimiser folds it into one literal."""
+    text = values if isinstance(values, str) else ",".join(map(str, values))
+    return F.split(F.lit(text), ",").cast("array<bigint>")
+
+
+def slot_list(sums: DataFrame, slots: int) -> str:
+    """``sums`` (slot, value) as the text of a list with a value, else 0, for each of a fixed number of slots."""
+    all_slots = sums.sparkSession.range(slots).join(sums, F.col("id") == F.col("slot"), "left")
+    pairs = F.sort_array(F.collect_list(F.struct("id", F.coalesce("value", F.lit(0).cast("long")).alias("value"))))
+    return all_slots.agg(F.array_join(F.transform(pairs, lambda x: x["value"].cast("string")), ",")).first()[0]
 
 
 def lower_ascii(text: Column) -> Column:
