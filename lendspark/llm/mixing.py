@@ -30,7 +30,7 @@ from lendspark.llm.common import stored
 class Mix:
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     max_repeats: int = 3
-    shard_tokens: int = 4_000_000
+    shard_tokens: int = 250_000
     least_block: int = 64
     most_blocks: int = 1 << 22
     seed: str = "mix"
@@ -104,6 +104,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         .withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
         .withColumn("draw", _hash(seed, F.lit("block"), F.coalesce("source", F.lit("")), F.col("_mix_shard").cast("string"),
                                   F.col("b").cast("string")))
+        .repartition(*shard)  # a shard's blocks are made in few tasks from one row each: deal them anew
         .withColumn("place", F.row_number().over(seeded))
         .where("place <= more")
         .select(F.col("source").alias("_s"), F.col("_mix_shard").alias("_h"), "b")
@@ -115,14 +116,14 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
                 F.explode(F.sequence(F.floor(begin / block), F.floor((end - 1) / block))).alias("b"))
     )
     again = (
-        touched.alias("t").join(drawn.alias("d"), (F.col("t.b") == F.col("d.b")) & (F.col("_mix_shard") == F.col("_h"))
+        touched.alias("t").join(drawn.hint("merge").alias("d"), (F.col("t.b") == F.col("d.b")) & (F.col("_mix_shard") == F.col("_h"))
                                 & F.col("source").eqNullSafe(F.col("_s")))
         .withColumn("words", F.least(end, (F.col("t.b") + 1) * block) - F.greatest(begin, F.col("t.b") * block))
         .groupBy(F.col("source").alias("_s"), F.col("_mix_shard").alias("_h"), F.col("_mix_start").alias("_p"))
         .agg(F.sum("words").alias("_more"))
     )
     return (
-        placed.join(again, (F.col("_mix_start") == F.col("_p")) & (F.col("_mix_shard") == F.col("_h"))
+        placed.join(again.hint("merge"), (F.col("_mix_start") == F.col("_p")) & (F.col("_mix_shard") == F.col("_h"))
                     & F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") > 0), "left")
         .withColumn("taken", F.col("_mix_all") * F.col("size") + F.coalesce("_more", F.lit(0).cast("long")))
         .select(*kept, "size", "source_size", "target", "taken")
