@@ -172,7 +172,11 @@ def test_page_blocks():
     assert page_blocks("<main><p>in</p></main><p>out</p>") == (["in"], True)
     assert page_blocks("<p>unclosed <script>x") == (["unclosed"], False)
     assert page_blocks("a < b <p>c") == (["a < b", "c"], False)
-    assert [host_of(u) for u in ("http://A.b:80/c", "https://u@x.y?q", "/z", None)] == ["a.b", "x.y", "", ""]
+
+
+def test_host(spark):
+    urls = [("http://A.b:80/c", "a.b"), ("https://u@x.y?q", "x.y"), ("/z", ""), (None, "")]
+    assert all(r["h"] == r["want"] for r in spark.createDataFrame(urls, "u string, want string").withColumn("h", host_of(F.col("u"))).collect())
 
 
 def test_covered_tokens_against_all_substrings():
@@ -198,7 +202,7 @@ def test_extract_by_host(spark):
     pages = [(i, "http://h/x", f"<body>{common}<p>{' '.join(f'own{i}x{j}' for j in range(30))}</p></body>") for i in range(20)]
     pages += [(100, None, None), (101, "http://h/y", ""), (102, "http://k/", PAGE), (None, "http://k/", "<p>q"), (0, *pages[0][1:])]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("text", F.lit("x"))
-    for cfg in (Extraction(), Extraction(shard_tokens=350, least_pages=3)):
+    for cfg in (Extraction(), Extraction(shard_bytes=2500, least_pages=3)):
         got = extract_main_text(df, cfg).collect()
         assert len(got) == len(pages)
         text = {r["page_id"]: r["text"] for r in got}
@@ -286,7 +290,7 @@ def test_language_model_sums_to_one():
     shape = lm.Shape(int(b.count.sum()), int(root.sum()), sums(b.count), 0.6, 0.4)
     totals = [lm.Totals(sums(tables), float(tables.sum()), float(root.sum()))]
     for _ in range(3):
-        tables, per_word, root = b.states(shape, totals, cfg)[-1]
+        tables, per_word, root = list(b.states(shape, totals, cfg))[-1]
         assert (tables <= b.count).all() and (root <= per_word).all()
         g = lm.Totals(sums(tables), float(tables.sum()), float(root.sum()))
         totals.append(g)
