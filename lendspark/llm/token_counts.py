@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from lendspark.llm.decontamination import slices
 
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 16 << 20
 MARK = "▁"
 ADDED = T.StructType([
     T.StructField("n_pretokens", T.LongType()),
@@ -78,19 +78,19 @@ class Trie:
 
     def _grow(self, text: str, end: int, path: list[int]) -> int:
         """A node for text[:end] from those of its prefixes."""
-        pieces, node = self.pieces, path[-1]
-        score, count, parts = self.best[node] + self.unknown, self.count[node] + 1, []
+        get, best, counts, forward, node = self.pieces.get, self.best, self.count, self.forward, path[-1]
+        score, count, parts = best[node] + self.unknown, counts[node] + 1, []
         for begin in range(max(0, end - self.longest), end):
-            piece = pieces.get(text[begin:end])
+            piece = get(text[begin:end])
             if piece is None:
                 continue
             at = path[begin]
-            s, c = self.best[at] + piece, self.count[at] + 1
+            s, c = best[at] + piece, counts[at] + 1
             if s > score + 1e-12 or (s > score - 1e-12 and c < count):
                 score, count = s, c
-            parts.append(self.forward[at] + piece)
-        if text[end - 1] not in pieces:
-            parts.append(self.forward[node] + self.unknown)
+            parts.append(forward[at] + piece)
+        if get(text[end - 1]) is None:
+            parts.append(forward[node] + self.unknown)
         top = max(parts)
         self.best.append(score)
         self.count.append(count)
