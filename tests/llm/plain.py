@@ -71,6 +71,21 @@ def contamination(docs, items, size: int = 13) -> dict:
     return out
 
 
+def near_contamination(docs, items, slop: int, least: int, size: int = 13) -> dict:
+    out = {doc: set() for doc, _ in docs}
+    for doc, text in docs:
+        d = LETTER_WORDS.findall(lower(text))
+        for item, passage in items:
+            w = LETTER_WORDS.findall(lower(passage))
+            for at in range(max(1, len(w) - size + 1) if w else 0):
+                part = w[at : at + size]
+                for start in range(-size - slop, len(d) + slop):
+                    hits = sum(x in d[max(0, start + o - slop) : max(0, start + o + slop + 1)] for o, x in enumerate(part))
+                    if hits >= min(least, len(part)):
+                        out[doc].add(item)
+    return out
+
+
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     text = text or ""
     w = words(text)

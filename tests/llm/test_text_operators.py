@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendspark.llm.components import components
-from lendspark.llm.decontamination import benchmark_matches, with_verdict
+from lendspark.llm.decontamination import Windows, _match, benchmark_matches, with_verdict
 from lendspark.llm.line_dedup import LineDedup, dedup_lines, removed_lines
 from lendspark.llm.mixing import Mix, mix_sources
 from lendspark.llm.ngram_join import JaccardJoin, jaccard_classes, one_of_each
@@ -166,6 +166,41 @@ def test_decontamination_near_and_empty(spark, docs):
     assert benchmark_matches(docs.where("false"), bench).count() == 0
 
 
+def test_decontamination_near_in_any_slicing(spark):
+    u = [f"u{i}" for i in range(13)]
+    texts = {1: " ".join([*u[:4], "other", *u[5:]]), 2: "x y z", 3: " ".join(["u4", "u4"]), 4: " ".join(u[3:]), 5: " ".join(u[4:]),
+             6: " ".join(u[:6]), 7: " ".join(u[6:]), 8: " ".join(["a", *u[:3], "b", "c", *u[4:8], "d", "e", *u[9:]])}
+    want = plain.near_contamination(list(texts.items()), [("1", " ".join(u))], slop=2, least=10)
+    assert want == {1: {"1"}, 2: set(), 3: set(), 4: {"1"}, 5: set(), 6: set(), 7: set(), 8: {"1"}}
+    bench = spark.createDataFrame([(1, " ".join(u))], "item_id long, text string")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for sliced in (docs.coalesce(1), docs.repartition(8, "doc_id"), docs.where("doc_id in (1, 2)").coalesce(1)):
+        got = {r["doc_id"]: set(r["near_items"]) for r in benchmark_matches(sliced, bench, slop=2).collect()}
+        assert got == {i: want[i] for i in got} and 1 in got
+
+
+@pytest.mark.parametrize("chunk", [3, 1000])
+def test_decontamination_near_brute_force(chunk, monkeypatch):
+    monkeypatch.setattr("lendspark.llm.decontamination.CHUNK", chunk)
+    base = prose(60, 1)
+    bench = [("1", " ".join(base[:30])), ("2", " ".join(prose(20, 3))), ("3", "w1 rare7 w2")]
+    docs = []
+    for k in range(12):
+        own = list(base)
+        for j in range(k):
+            own[(j * 17 + k) % 60] = f"new{j}"
+        del own[5 * k : 5 * k + k % 3]
+        docs.append((k, " ".join(own[k:])))
+    docs += [(12, "w1 rare7 w2"), (13, "w1 x rare7 w2 w1"), (14, None), (15, "w1 rare7"), (16, "w2")]
+    want = plain.near_contamination(docs, bench, slop=2, least=10)
+    w = Windows([(i, t.encode()) for i, t in bench], 13)
+    raw = [t.encode() if t is not None else None for _, t in docs]
+    for step in (1, 4, len(raw)):
+        got = [set(r[4]) for at in range(0, len(raw), step) for r in _match(raw[at : at + step], w, 2, 10)]
+        assert got == [want[i] for i, _ in docs]
+    assert any(want.values())
+
+
 def test_mixing(docs):
     sizes = {}
     for i, t, _, s, _ in corpus():
