@@ -9,7 +9,7 @@ from lendspark.llm.common import read
 from lendspark.llm.decontamination import benchmark_matches, with_verdict
 from lendspark.llm.html_extract import extract_main_text
 from lendspark.llm.language_model import score_documents
-from lendspark.llm.line_dedup import LAST, removed_lines
+from lendspark.llm.line_dedup import EVERY_LINE, dedup_lines
 from lendspark.llm.mixing import mix_sources
 from lendspark.llm.ngram_join import jaccard_classes
 from lendspark.llm.quality_rules import quality_rules
@@ -71,10 +71,9 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of all documents that an earlier line resembles: their numbers, from 0, by document."""
-    gone = removed_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
-    return gone.select(
-        F.when(F.col("d") != LAST, F.col("d")).alias("doc_id"), F.size("removed").cast("long").alias("n_removed"), "removed")
+    """All documents without the lines that an earlier line resembles."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return dedup_lines(docs, EVERY_LINE).select("doc_id", "n_lines", "n_removed", "text")
 
 
 @_query

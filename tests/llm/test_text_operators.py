@@ -1,4 +1,5 @@
 """Operators on documents against brute force: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
+import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from lendspark.llm.line_dedup import LineDedup, dedup_lines, removed_lines
 from lendspark.llm.mixing import Mix, mix_sources
 from lendspark.llm.ngram_join import JaccardJoin, jaccard_classes, one_of_each
 from lendspark.llm.quality_rules import quality_rules
+from lendspark.llm.queries import op5_line_dedup
 from tests.llm import plain
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -132,6 +134,20 @@ def test_line_dedup_texts(spark, docs):
     assert dedup_lines(docs.where("false")).count() == 0
 
 
+def test_line_dedup_short_lines(spark, tmp_path):
+    rows = [(1, "menu\nread more\na b c d\nx y z\n\n"), (2, "read more\nmenu menu\na b c d e\nx y\n"), (3, "more read\nx y z q\n \n"),
+            (4, "one of its own"), (5, None), (6, " ".join("a b c d".split() * 15)), (7, "x y z\nz y x")]
+    want = plain.removed_lines(rows, 1)
+    assert {(2, 0), (2, 1), (2, 2), (3, 0), (6, 0), (7, 0), (7, 1)} == want
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], SCHEMA)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = [op5_line_dedup(spark, str(tmp_path)), corpus_pipeline.lines(spark, docs, str(tmp_path))]
+    left = {i: None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in want) for i, t in rows}
+    assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"]) for r in found[0].collect()} == {
+        i: (len(t.split("\n")) if t is not None else 0, sum(d == i for d, _ in want), left[i]) for i, t in rows}
+    assert {r["doc_id"]: r["text"] for r in found[1].collect()} == {i: t for i, t in left.items() if i not in (6, 7)}
+
+
 def items():
     base = prose(120, 1)
     return [(1, " ".join(base[20:60])), (2, " ".join(prose(30, 777))), (3, None), (4, ""), (5, "One, two!"), (5, "w1 w2 w3"),
