@@ -4,13 +4,17 @@ Every source has a token target: its weight's share of all tokens, at most ``max
 times its size; what that leaves over is shared out again by weight. A source's documents
 are dealt by hash into shards of about ``shard_tokens`` tokens, so that a source that holds
 most rows is many shards. Within a shard the documents, in hash order, form one token axis,
-cut into blocks of B tokens (the last one shorter).
-
-Sainte-Lague: a shard with target t holds the quotients t / (k + 1/2), k = 0, 1, ...; the
-highest quotients win a block each, down to the divisor B, which gives it the integer quota
-floor(t / B + 1/2). A quota of q on n blocks takes every block q // n times, and q mod n of
-them, those first in a seeded order, once more. So no block and no document is taken more
-than ``max_repeats`` times, and a rerun takes the same.
+cut into n = ceil(size / B) blocks whose lengths differ by one token at most. B is the same
+in all shards of a source: at most a 64th of its target and of its size, so that rounding
+costs small sources and small targets no more of their share than large ones.
+
+Sainte-Lague: a source with target t holds the quotients t / (k + 1/2), k = 0, 1, ...; the
+highest quotients win a block each, down to the divisor, its blocks' mean length, which
+gives N blocks the integer quota floor(N * t / size + 1/2). Its shards, in order, share it
+by the same rule: what N counts up to a shard, less what it counts before. A source at its
+cap takes every block ``max_repeats`` times. A shard's quota of q on n blocks takes every
+block q // n times, and q mod n of them, those first in a seeded order, once more. So no
+block and no document is taken more than ``max_repeats`` times, and a rerun takes the same.
 
 Null or wordless text: size 0, never taken. Null source: a source of its own, last in
 order. Null doc_id and repeated rows keep a row each; rows alike in doc_id share a place in
@@ -26,6 +30,10 @@ from pyspark.sql import functions as F
 from lendspark.llm.common import stored
 
 
+#: Least number of blocks that make up a source, and its target.
+FINENESS = 64
+
+
 @dataclass(frozen=True)
 class Mix:
     weights: tuple[float, ...] = (5.0, 2.0, 1.0)
@@ -74,7 +82,7 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
                                _hash(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("_mix_hash")))
     targets = stored(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), mix))
     total = targets.agg(F.sum("source_size")).first()[0] or 0
-    block = max(mix.least_block, -(-total // mix.most_blocks))
+    widest = max(mix.least_block, -(-total // mix.most_blocks))
 
     shards_of = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("source_size") / F.lit(mix.shard_tokens)))
     dealt = (
@@ -84,20 +92,24 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         .drop("_mix_source")
     )
     shard = ["source", "_mix_shard"]
+    block = F.greatest(F.lit(1).cast("long"), F.least(
+        F.lit(widest).cast("long"), F.floor(F.col("source_size") / FINENESS), F.floor(F.col("target") / FINENESS)))
+    share = F.col("target") / F.greatest(F.col("source_size"), F.lit(1).cast("long"))
+    upto = F.sum("n").over(Window.partitionBy("source").orderBy("_mix_shard"))
+    shards = stored(
+        dealt.groupBy(*shard).agg(F.sum("size").alias("shard_size"), F.first("source_size").alias("source_size"), F.first("target").alias("target"))
+        .withColumn("n", F.ceil(F.col("shard_size") / block))
+        .withColumn("upto", upto)
+        .withColumn("quota", F.floor(share * F.col("upto") + 0.5) - F.floor(share * (F.col("upto") - F.col("n")) + 0.5))
+        .withColumn("every", F.when(F.col("n") > 0, F.floor(F.col("quota") / F.col("n"))).otherwise(F.lit(0).cast("long")))
+        .select(*shard, "shard_size", "n", "every", (F.col("quota") - F.col("every") * F.col("n")).alias("more")))
     axis = Window.partitionBy(*shard).orderBy("_mix_hash", "doc_id", "size")
-    placed = (
-        dealt.withColumn("_mix_end", F.sum("size").over(axis.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_mix_start", F.col("_mix_end") - F.col("size"))
-        .withColumn("_mix_size", F.sum("size").over(Window.partitionBy(*shard)))
-        .withColumn("_mix_blocks", F.ceil(F.col("_mix_size") / F.lit(block)))
-        .withColumn("_mix_quota", F.least(
-            F.floor(F.col("target") * F.col("_mix_size") / F.greatest(F.col("source_size"), F.lit(1).cast("long")) / block + 0.5),
-            F.col("_mix_blocks") * mix.max_repeats))
-        .withColumn("_mix_all", F.when(F.col("_mix_blocks") > 0, F.floor(F.col("_mix_quota") / F.col("_mix_blocks"))).otherwise(F.lit(0)))
-        .withColumn("_mix_more", F.col("_mix_quota") - F.col("_mix_all") * F.col("_mix_blocks"))
-    )
-    placed = stored(placed)
-    shards = placed.groupBy(*shard).agg(F.first("_mix_blocks").alias("n"), F.first("_mix_more").alias("more"))
+    placed = stored(
+        dealt.join(shards.select(F.col("source").alias("_s"), F.col("_mix_shard").alias("_h"), F.col("shard_size").alias("_mix_size"),
+                                 F.col("n").alias("_mix_blocks"), F.col("every").alias("_mix_all"), F.col("more").alias("_mix_more")),
+                   F.col("source").eqNullSafe(F.col("_s")) & (F.col("_mix_shard") == F.col("_h"))).drop("_s", "_h")
+        .withColumn("_mix_end", F.sum("size").over(axis.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("_mix_start", F.col("_mix_end") - F.col("size")))
     seeded = Window.partitionBy(*shard).orderBy("draw", "b")
     drawn = (
         shards.where("more > 0")
@@ -109,16 +121,17 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         .where("place <= more")
         .select(F.col("source").alias("_s"), F.col("_mix_shard").alias("_h"), "b")
     )
-    begin, end = F.col("_mix_start"), F.col("_mix_end")
     touched = (
         placed.where((F.col("size") > 0) & (F.col("_mix_more") > 0))
-        .select(*shard, "_mix_start", "_mix_end",
-                F.explode(F.sequence(F.floor(begin / block), F.floor((end - 1) / block))).alias("b"))
+        .select(*shard, "_mix_start", "_mix_end", "_mix_size", "_mix_blocks",
+                F.expr("explode(sequence(((_mix_start + 1) * _mix_blocks - 1) div _mix_size, (_mix_end * _mix_blocks - 1) div _mix_size))").alias("b"))
+        .withColumn("begin", F.expr("(b * _mix_size) div _mix_blocks"))
+        .withColumn("end", F.expr("((b + 1) * _mix_size) div _mix_blocks"))
     )
     again = (
         touched.alias("t").join(drawn.hint("merge").alias("d"), (F.col("t.b") == F.col("d.b")) & (F.col("_mix_shard") == F.col("_h"))
                                 & F.col("source").eqNullSafe(F.col("_s")))
-        .withColumn("words", F.least(end, (F.col("t.b") + 1) * block) - F.greatest(begin, F.col("t.b") * block))
+        .withColumn("words", F.least("_mix_end", "end") - F.greatest("_mix_start", "begin"))
         .groupBy(F.col("source").alias("_s"), F.col("_mix_shard").alias("_h"), F.col("_mix_start").alias("_p"))
         .agg(F.sum("words").alias("_more"))
     )

@@ -236,6 +236,23 @@ def test_mixing(docs):
         assert again == {r["doc_id"]: r["taken"] for r in rows}
 
 
+@pytest.mark.parametrize("cfg", [Mix(), Mix(most_blocks=16), Mix(most_blocks=16, shard_tokens=2000), Mix(weights=(500.0, 500.0, 1.0), shard_tokens=2000)])
+def test_mixing_small_sources_and_targets(spark, cfg):
+    sizes = {"a": 10, "b": 20, "c": 40_000, "d": 190, "e": 500, "f": 30_000, "g": 63, "h": 1}
+    rows, k = [], 0
+    for s, n in sizes.items():
+        while n > 0:
+            rows.append((k, " ".join(["w"] * min(n, 90 + k % 50)), s))
+            n, k = n - min(n, 90 + k % 50), k + 1
+    want = plain.targets(sizes, cfg.weights)
+    found = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), cfg).collect()
+    assert len(found) == len(rows) and all(0 <= r["taken"] <= 3 * r["size"] for r in found)
+    for s, t in want.items():
+        taken = sum(r["taken"] for r in found if r["source"] == s)
+        assert taken == t if t == 3 * sizes[s] else abs(taken - t) <= t / 50 + 2, (s, taken, t)
+    assert any(t == 3 * sizes[s] for s, t in want.items())
+
+
 def test_mixing_edges(spark, docs):
     one = spark.createDataFrame([(1, "a b c", "x", 9), (None, None, None, 9), (1, "a b c", "x", 9)], "doc_id long, text string, source string, size int")
     rows = mix_sources(one).collect()
