@@ -11,8 +11,9 @@ words may be missing, one more than that of the rarest words give the candidates
 them is in every match), and which documents share an index makes no difference.
 
 No text and no posting leaves its task, so there is no shuffle. The benchmark itself is the
-stated query set: it goes to the tasks in blocks of at most ``MAX_WINDOWS`` windows; with
-more than one block, the blocks' hits are united per document.
+stated query set: it goes to the tasks in blocks of at most ``MAX_WINDOWS`` windows, of which
+the driver holds one at a time; with more than one block, the blocks' hits are united by row,
+that is by all kept columns and the text.
 
 Null or wordless text: no words, not contaminated. Null item text: no windows. Rows that
 share an item_id count as one item; a null item_id reads as an empty string. Repeated
@@ -33,6 +34,8 @@ WINDOW = 13
 MAX_WINDOWS = 500_000
 #: Candidates looked at in one go, and bytes of text indexed in one go.
 CHUNK, INDEX_BYTES = 2_000_000, 8 << 20
+#: Copies of a row made from one array.
+COPIES = 100_000
 
 #: Lower-cases A-Z and turns every other ASCII mark into a space; letters, digits and all bytes from 0x80 stay.
 FOLD = bytes(
@@ -200,18 +203,18 @@ def _match(texts: list[bytes | None], w: Windows, slop: int, least: int) -> list
     return out
 
 
-def _blocks(items: DataFrame, size: int) -> list[list[tuple[str, bytes]]]:
+def _blocks(items: DataFrame, size: int) -> Iterator[list[tuple[str, bytes]]]:
     """The benchmark in blocks of at most MAX_WINDOWS windows (an item is never split)."""
-    blocks, now, n = [], [], 0
+    now, n = [], 0
     for r in items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"),
                           F.encode("text", "utf-8").alias("t")).toLocalIterator():
         own = max(1, len(words_of(bytes(r["t"])) if r["t"] is not None else []) - size + 1)
         if now and n + own > MAX_WINDOWS:
-            blocks.append(now)
+            yield now
             now, n = [], 0
         now.append((r["i"], bytes(r["t"]) if r["t"] is not None else b""))
         n += own
-    return [*blocks, now]
+    yield now
 
 
 def benchmark_matches(docs: DataFrame, items: DataFrame, *, keep: list[str] | None = None, window: int = WINDOW,
@@ -223,11 +226,25 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, *, keep: list[str] | No
     added = RESULT.fieldNames()
     kept = [c for c in (docs.columns if keep is None else keep) if c not in added]
     source = docs.select(*dict.fromkeys([*kept, "text"]))
-    schema = T.StructType([*source.select(*kept).schema.fields, *RESULT.fields])
+    blocks = [spark.sparkContext.broadcast(block) for block in _blocks(items, window)]
+    several = len(blocks) > 1
+    if several:
+        source = source.withColumns(_row_keys(source))
     parts = []
-    for block in _blocks(items, window):
-        parts.append(source.mapInArrow(_matcher(spark.sparkContext.broadcast(block), kept, window, slop, near_words), schema))
-    return parts[0] if len(parts) == 1 else _united(parts, kept)
+    for k, block in enumerate(blocks):
+        own = [*(kept if k == 0 else []), *(ROW_KEYS if several else [])]  # the first block's rows bring the kept columns
+        schema = T.StructType([*source.select(*own).schema.fields, *RESULT.fields])
+        parts.append(source.mapInArrow(_matcher(block, own, window, slop, near_words), schema))
+    return _united(parts, kept) if several else parts[0]
+
+
+ROW_KEYS = ("_row_key", "_row_key_2")
+
+
+def _row_keys(source: DataFrame) -> dict:
+    """Two hashes over all columns, in which nulls count too."""
+    parts = [c for n in source.columns for c in (F.col(n).isNull(), F.col(n))]
+    return {ROW_KEYS[0]: F.xxhash64(*parts), ROW_KEYS[1]: F.xxhash64(F.lit("2"), *reversed(parts))}
 
 
 def slices(batch: pa.RecordBatch, limit: int) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
@@ -255,15 +272,12 @@ def _matcher(block, kept: list[str], window: int, slop: int, near_words: int):
 
 
 def _united(parts: list[DataFrame], kept: list[str]) -> DataFrame:
-    """One row per document from the blocks' rows: equal rows stay as often as they came."""
-    n = len(parts)
-    every = parts[0].withColumn("_block", F.lit(0))
-    for k, p in enumerate(parts[1:], 1):
-        every = every.unionByName(p.withColumn("_block", F.lit(k)))
-    key = F.xxhash64(*kept).alias("_key")
-    first = {c: F.first(c).alias(c) for c in [*kept, "n_words"]}
-    grouped = every.withColumn("_key", key).groupBy("_key").agg(
-        *first.values(), F.count("*").alias("_rows"),
+    """One row per document from the blocks' rows: equal rows (equal text included) stay as often as they came."""
+    every = parts[0].withColumn("_kept", F.struct(F.lit(True).alias("_first"), *kept)).drop(*kept)
+    for p in parts[1:]:
+        every = every.unionByName(p, allowMissingColumns=True)
+    grouped = every.groupBy(*ROW_KEYS).agg(
+        F.first("_kept", ignorenulls=True).alias("_kept"), F.first("n_words").alias("n_words"), F.count("_kept").alias("_rows"),
         F.flatten(F.collect_set(F.arrays_zip("hit_starts", "hit_ends"))).alias("_runs"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("near_items")))).alias("near_items"))
@@ -276,8 +290,9 @@ def _united(parts: list[DataFrame], kept: list[str]) -> DataFrame:
     ).otherwise(F.concat(acc, F.array(r))))
     return (grouped.withColumn("_runs", merged)
             .withColumn("hit_starts", F.col("_runs.hit_starts")).withColumn("hit_ends", F.col("_runs.hit_ends"))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), (F.col("_rows") / n).cast("int"))))
-            .select(*kept, "n_words", "hit_starts", "hit_ends", "items", "near_items"))
+            .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_rows") - 1, F.lit(COPIES).cast("long"))))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.col("_rows") - F.col("_part"), F.lit(COPIES)))))
+            .select(*[F.col("_kept")[c].alias(c) for c in kept], "n_words", "hit_starts", "hit_ends", "items", "near_items"))
 
 
 def with_verdict(matches: DataFrame) -> DataFrame:

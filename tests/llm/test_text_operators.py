@@ -172,6 +172,23 @@ def test_decontamination(spark, docs, monkeypatch):
     check(benchmark_matches(docs.select("doc_id", "text"), bench))
 
 
+def test_decontamination_blocks_judge_rows_one_by_one(spark, monkeypatch):
+    """Repeated and null ids, texts of their own: many blocks give the rows of one."""
+    clean, one, other = " ".join(f"clean{i}" for i in range(40)), " ".join(prose(40, 1)), " ".join(prose(40, 777))
+    rows = [(1, clean), (1, one), (1, one), (None, clean), (None, other), (None, None), (None, None), (2, one + " x " + other), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(1, one), (2, other), (3, "One, two!")], "item_id long, text string")
+    for keep in (["doc_id"], None, []):
+        def found():
+            return sorted(map(repr, with_verdict(benchmark_matches(docs, bench, keep=keep, slop=2)).collect()))
+
+        monkeypatch.setattr("lendspark.llm.decontamination.MAX_WINDOWS", 500_000)
+        whole = found()
+        assert len(whole) == len(rows) and sum("contaminated=True" in r for r in whole) == 4
+        monkeypatch.setattr("lendspark.llm.decontamination.MAX_WINDOWS", 10)
+        assert found() == whole
+
+
 def test_decontamination_near_and_empty(spark, docs):
     bench = spark.createDataFrame([(1, " ".join(f"u{i}" for i in range(13)))], "item_id long, text string")
     near = spark.createDataFrame([(1, "x " + " ".join(f"u{i}" for i in range(6)) + " z " + " ".join(f"u{i}" for i in range(6, 13)))],
