@@ -12,6 +12,7 @@ from lendspark.llm.language_model import score_documents
 from lendspark.llm.line_dedup import EVERY_LINE, dedup_lines
 from lendspark.llm.mixing import mix_sources
 from lendspark.llm.ngram_join import jaccard_classes
+from lendspark.llm.passage_dedup import dedup_passages
 from lendspark.llm.quality_rules import quality_rules
 from lendspark.llm.token_counts import count_tokens
 from lendspark.llm.toxicity import fit, score_toxicity
@@ -121,6 +122,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
 
 
+@_query
+def op11_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 20-word windows that start earlier."""
+    return dedup_passages(read(spark, sf_dir, "documents", "doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.size("removed").cast("long").alias("n_spans"))
+
+
 ORACLE["op1_chat_format"] = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
