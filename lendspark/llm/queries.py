@@ -4,8 +4,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendspark.llm.centroid_clustering import cluster_vectors
 from lendspark.llm.chat_format import format_chats, loss_text, read_turns
 from lendspark.llm.common import read
+from lendspark.llm.conversation_trie import own_turns, prefix_trie, with_heads
 from lendspark.llm.decontamination import benchmark_matches, with_verdict
 from lendspark.llm.html_extract import extract_main_text
 from lendspark.llm.language_model import score_documents
@@ -129,6 +131,20 @@ def op11_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"), F.size("removed").cast("long").alias("n_spans"))
 
 
+@_query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors in 40 clusters after five rounds."""
+    return cluster_vectors(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))[0]
+
+
+@_query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all conversations, each rebuilt with the head of the first conversation of its five."""
+    own = own_turns(read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    rebuilt = with_heads(own, F.col("conv_id") - F.col("conv_id") % 5, F.crc32(F.col("conv_id").cast("string")) % 9)
+    return prefix_trie(rebuilt)
+
+
 ORACLE["op1_chat_format"] = r"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -165,3 +181,45 @@ WITH RECURSIVE w AS (
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.y, d.doc_id) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.x = d.doc_id
 """
+
+_SQUARES = "list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+ORACLE["op12_centroid_clustering"] = r"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS i, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v FROM v QUALIFY c < 40
+)""" + "".join(f""", a{k} AS MATERIALIZED (
+  SELECT a.i, a.vec_id, a.v, min({_SQUARES}::HUGEINT * 64 + b.c) AS m FROM v a CROSS JOIN c{k} b GROUP BY ALL
+)""" + (f""", s{k} AS (
+  SELECT m % 64 AS c, j, sum(x)::HUGEINT AS s, count(*) AS n FROM (SELECT m, unnest(v) AS x, unnest(range(64)) AS j FROM a{k}) GROUP BY ALL
+), m{k} AS (
+  SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS v FROM s{k} GROUP BY c
+), c{k + 1} AS MATERIALIZED (SELECT c, coalesce(m{k}.v, c{k}.v) AS v FROM c{k} LEFT JOIN m{k} USING (c)
+)""" if k < 5 else "") for k in range(6)) + r"""
+SELECT a5.vec_id, (m % 64)::INTEGER AS cluster, (m // 64)::BIGINT AS distance, (sum(m // 64) OVER (PARTITION BY m % 64))::BIGINT AS cluster_inertia,
+  (sum(m // 64) OVER ())::BIGINT AS inertia, sha256(array_to_string(c5.v, ',')) AS centroid_sha256
+FROM a5 JOIN c5 ON c5.c = m % 64
+"""
+
+ORACLE["op13_conversation_trie"] = r"""
+WITH t AS (
+  SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role, text) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1
+), k AS (
+  SELECT c, ts, xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, length(c::VARCHAR) + 1),
+    lambda i: ascii((c::VARCHAR)[i])::UBIGINT)), lambda a, b: list_reduce(list_prepend(xor(a, b), [1::UBIGINT, 2, 3, 4, 5, 6, 7, 8]),
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END))) % 9 AS h FROM t
+), p AS (
+  SELECT k.c, list_concat(coalesce(b.ts[1:k.h::BIGINT], []), k.ts[k.h::BIGINT + 1:]) AS ts FROM k LEFT JOIN t b ON b.c = k.c - k.c % 5
+), s AS (SELECT c, ts, unnest(range(len(ts) + 1)) AS d FROM p
+), n AS (
+  SELECT ts[1:d] AS node, d, min(c) AS c, count(*) AS n, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(ts) = d), '')) AS ends,
+    CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * strlen(any_value(ts[d]).t) END AS own FROM s GROUP BY 1, 2
+), m AS (SELECT n.*, n.d > 0 AS inner_node, (SELECT count(*) FROM n x WHERE x.d = n.d + 1 AND x.node[1:n.d] = n.node) AS children FROM n
+), u AS (SELECT node[1:a] AS node, a AS d, own, children FROM (SELECT *, unnest(range(d + 1)) AS a FROM m)
+), w AS (SELECT node, d, sum(own) AS saved, count(*) FILTER (children = 0) AS leaves FROM u GROUP BY 1, 2)
+SELECT m.c AS conv_id, m.d AS depth, b.c AS parent_conv_id, m.n AS n_convs, m.children AS n_children, w.leaves AS n_leaves,
+  w.saved::BIGINT AS saved_tokens, m.ends AS ends_sha256
+FROM m JOIN w ON w.d = m.d AND w.node = m.node LEFT JOIN m b ON m.d > 0 AND b.d = m.d - 1 AND b.node = m.node[1:m.d - 1]
+"""
