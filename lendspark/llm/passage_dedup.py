@@ -21,7 +21,7 @@ of any type that can be ordered. Other columns are ignored. Empty table: no rows
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +43,6 @@ class PassageDedup:
 #: Multipliers of the two lanes of a window's hash, and of the hash that picks anchors.
 LANES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 ANCHOR = np.uint64(0xBF58476D1CE4E5B9)
-#: Word ids up to this many are one symbol of an automaton, more are two.
-SYMBOLS = 1_000_000
 
 
 def _pack(settings: PassageDedup):
@@ -90,25 +88,11 @@ def _pack(settings: PassageDedup):
     return run
 
 
-class _Vocabulary(dict):
-    """Words numbered in order of first sight, with 128 bits of hash each."""
-
-    def __init__(self):
-        super().__init__()
-        self.bits = bytearray()
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        self.bits += xxhash.xxh3_128_digest(word)
-        self[word] = n = len(self)
-        return n
-
-
 class _Chunk:
     """The words of a chunk's documents in one row, and which positions start a window."""
 
     def __init__(self, row: dict, settings: PassageDedup):
+        import xxhash
         import zstandard
 
         body, at = zstandard.ZstdDecompressor().decompress(row["body"], max_output_size=max(1, row["n_bytes"])) if row["n_bytes"] else b"", 0
@@ -117,10 +101,9 @@ class _Chunk:
             self.words += body[at:at + length].split()  # bytes: ASCII white space only
             self.ends.append(len(self.words))
             at += length
-        names = _Vocabulary()
+        names = {word: n for n, word in enumerate(dict.fromkeys(self.words))}
         self.ids = np.fromiter(map(names.__getitem__, self.words), np.int64, len(self.words))
-        self.bits = np.frombuffer(bytes(names.bits), np.uint64).reshape(-1, 2)
-        self.n_names = len(names)
+        self.bits = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, names)), np.uint64).reshape(-1, 2)
         starts = np.r_[0, self.ends[:-1]].astype(np.int64)
         room = np.repeat(np.array(self.ends, np.int64), np.array(self.ends, np.int64) - starts) - np.arange(len(self.ids))
         self.windows = np.flatnonzero(room >= settings.window)
@@ -231,37 +214,49 @@ def _earlier(table: pa.Table) -> pa.Table:
         pa.array([len(starts[k]) > 0 for k in range(rows)]))
 
 
-def _symbols(ids: np.ndarray, n: int) -> tuple[str, int]:
-    """Word ids as text of one symbol a word, or two (the first of a range of its own) if there are very many ids."""
-    text = lambda codes: (codes + 0x800 * (codes >= 0xD800)).astype("<u4").tobytes().decode("utf-32-le")  # noqa: E731  past the surrogates
-    if n < SYMBOLS:
-        return text(ids + 1), 1
-    return text(np.stack([SYMBOLS + ids // (SYMBOLS // 2), ids % (SYMBOLS // 2) + 1], axis=1).ravel()), 2
+def _repeated(chunk: _Chunk) -> np.ndarray:
+    """Starts of the first of all windows that repeat inside the chunk."""
+    one, two = chunk.hashes(chunk.windows)
+    by_value = np.sort(one)
+    some = np.flatnonzero(np.isin(one, by_value[1:][by_value[1:] == by_value[:-1]]))
+    first, count = _firsts(one[some], two[some])
+    return chunk.windows[some[first[count > 1]]]
 
 
 def _located(chunk: _Chunk, settings: PassageDedup, starts: np.ndarray, elsewhere: np.ndarray) -> np.ndarray:
     """Which words go: the phrases that start at ``starts`` are located in all documents of the chunk. ``elsewhere``:
-    whether a phrase starts earlier in another chunk; if not, its first occurrence (the one in ``starts``) stays."""
+    whether a phrase starts earlier in another chunk; if not, its first occurrence (the one in ``starts``) stays.
+
+    A word is two symbols from ranges of their own, so that an automaton's node has few edges to search; words that no
+    phrase has, and the gaps between documents, are one word more."""
     import ahocorasick
 
     n, size = len(chunk.ids), settings.window
     change = np.zeros(n + 1, np.int64)
-    gap = chunk.n_names  # a word that no phrase has, between documents
-    line = np.insert(chunk.ids, chunk.ends, gap) if len(starts) else chunk.ids
-    text, wide = _symbols(line, gap + 1)
-    shift = np.searchsorted(chunk.ends, starts, side="right")  # gaps before a phrase
+    if not len(starts):
+        return change[:n] > 0
+    used = np.zeros(n + 1, np.int64)
+    used[starts] += 1
+    used[starts + size] -= 1
+    number = np.zeros(len(chunk.bits), np.int64)
+    known = np.unique(chunk.ids[np.cumsum(used[:n]) > 0])
+    number[known] = np.arange(1, len(known) + 1)
+    line = np.insert(number[chunk.ids], chunk.ends, 0)
+    base = int(len(known) ** 0.5) + 1  # both ranges end far below the surrogates
+    text = np.stack([line // base + 1, line % base + base + 3], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+    places = starts + np.searchsorted(chunk.ends, starts, side="right")  # gaps before a phrase
+    ends = np.array(chunk.ends) + np.arange(len(chunk.ends))
     for cut in range(0, len(starts), settings.phrases):
-        own, at = slice(cut, cut + settings.phrases), (starts + shift)[cut:cut + settings.phrases]
+        own, at = elsewhere[cut:cut + settings.phrases], places[cut:cut + settings.phrases]
         automaton = ahocorasick.Automaton()
         for k, a in enumerate(at.tolist()):
-            automaton.add_word(text[a * wide:(a + size) * wide], k)
+            automaton.add_word(text[2 * a:2 * (a + size)], k)
         automaton.make_automaton()
-        hits = np.fromiter((x for hit in automaton.iter(text) for x in hit), np.int64).reshape(-1, 2)
-        begin = (hits[:, 0] + 1) // wide - size
-        begin = begin[elsewhere[own][hits[:, 1]] | (begin != at[hits[:, 1]])]
-        begin -= np.searchsorted(np.array(chunk.ends) + np.arange(len(chunk.ends)), begin, side="left")
-        np.add.at(change, begin, 1)
-        np.add.at(change, begin + size, -1)
+        hits = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
+        begin = (hits[:, 0] + 1) // 2 - size
+        begin = begin[own[hits[:, 1]] | (begin != at[hits[:, 1]])]
+        begin -= np.searchsorted(ends, begin, side="left")
+        change += np.bincount(begin, minlength=n + 1) - np.bincount(begin + size, minlength=n + 1)
     return np.cumsum(change[:n]) > 0
 
 
@@ -270,8 +265,7 @@ def _remove(settings: PassageDedup, schema: pa.Schema):
         out = []
         for row, ids in zip(chunks.to_pylist(), chunks["ids"], strict=True):
             chunk = _Chunk(row, settings)
-            first, count = _firsts(*chunk.hashes(chunk.windows))
-            inside = chunk.windows[first[count > 1]]
+            inside = _repeated(chunk)
             outside = np.concatenate([np.frombuffer(x, np.int64) for x in answers["starts"].to_pylist()] or [np.zeros(0, np.int64)])
             starts = np.union1d(inside, outside)
             gone = _located(chunk, settings, starts, np.isin(starts, outside))

@@ -5,7 +5,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lendspark.llm import passage_dedup
 from lendspark.llm.passage_dedup import PassageDedup, _Chunk, _located, dedup_passages
 from lendspark.llm.queries import op11_passage_dedup
 from tests.llm.plain import words
@@ -89,12 +88,6 @@ def test_empty_table_other_columns_and_text_ids(spark):
     assert got(dedup_passages(docs, id="key", text="body_text"), "key") == [("a", 40, 0, text), ("b", 40, 40, "")]
 
 
-def test_very_many_words_take_two_symbols(spark, monkeypatch):
-    monkeypatch.setattr(passage_dedup, "SYMBOLS", 6)  # so that every chunk has too many words for one symbol
-    docs = spark.createDataFrame(rows(), "doc_id long, text string").repartition(2)
-    assert got(dedup_passages(docs, PassageDedup(chunk_bytes=4000))) == sorted(kept_words(rows()), key=str)
-
-
 def test_located_is_by_the_words_themselves():
     import zstandard
 
