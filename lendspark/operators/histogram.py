@@ -22,8 +22,9 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "_range_bucket"
 
@@ -98,42 +99,104 @@ def cumulative_below(hist: DataFrame, keys: Sequence[str], order: str, measures:
     return out
 
 
+BRACKETS_PER_OCTAVE = 256
+SUB_BRACKETS = 4096
+ROWS_TO_SORT = 1_000_000        # rows of one bracket that a task may sort
+
+
+def _bracket(v: Column) -> Column:
+    """An order-preserving whole number of a double: sign, binary exponent and the first bits of the mantissa. Equal
+    brackets are neighbours; ``log2`` may err by one next to a power of two, which the clamp keeps in order."""
+    a = F.abs(v)
+    e = F.floor(F.log2(a))
+    m = F.floor((a / F.pow(F.lit(2.0), e) - 1.0) * BRACKETS_PER_OCTAVE)
+    code = (e + 1100) * BRACKETS_PER_OCTAVE + F.least(F.greatest(m, F.lit(0)), F.lit(BRACKETS_PER_OCTAVE - 1)) + 1
+    code = F.when(a == float("inf"), F.lit(1 << 40)).otherwise(code)
+    return F.when(v == 0, F.lit(0)).when(v > 0, code).otherwise(-code).cast("long")
+
+
+def _hits(counted: DataFrame, group: Sequence[str], order: str, probs: Sequence[float], first: bool) -> DataFrame:
+    """Of counted brackets (or values) those that hold a wanted rank, with the number of rows ``below`` them."""
+    w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    below = F.coalesce(F.sum("n").over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    t = counted.withColumn("_inside", below)
+    if first:
+        t = t.withColumns({"_total": F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "_below": F.lit(0)})
+    t = t.withColumn("below", F.col("_below") + F.col("_inside"))
+    last = F.col("_total") - 1
+    covered = lambda r: (r >= F.col("below")) & (r < F.col("below") + F.col("n"))
+    ranks = [r for p in probs for r in (F.floor(F.lit(float(p)) * last), F.least(F.floor(F.lit(float(p)) * last) + 1, last))]
+    wanted = None
+    for r in ranks:
+        wanted = covered(r) if wanted is None else wanted | covered(r)
+    return t.where(wanted).drop("_inside", "_below")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
-                    n_buckets: int = 64) -> DataFrame:
-    """Exact linear-interpolation quantiles (numpy ``percentile`` / SQL
-    ``quantile_cont``) per key group: rows (keys..., q_index, prob, quantile).
-
-    Works on the value histogram: the values at ranks floor(h) and floor(h)+1,
-    h = p·(n−1), are found by the row whose cumulative count range covers them.
-    NULL and NaN are ignored. Memory per task is bounded (no value collection).
-    """
-    keys = list(keys)
+                    rows_to_sort: int = ROWS_TO_SORT) -> DataFrame:
+    """Exact linear-interpolation quantiles (numpy ``percentile`` / SQL ``quantile_cont``) per key group: rows
+    (keys..., q_index, prob, quantile). NULL and NaN are ignored; a group without values has no row.
+
+    Selection instead of sorting: one pass counts the rows of each bracket (order-preserving, computed from the value
+    alone, so partial sums meet in a small shuffle); only rows of the brackets that hold a wanted rank are looked at
+    again, and only where a bracket has different values. Brackets of more than ``rows_to_sort`` rows are cut finer
+    first. No pass exchanges all (key, value) pairs. The driver sees at most two brackets for each key group and
+    probability; key groups are models, features or scenarios, not rows."""
+    spark, keys, probs = df.sparkSession, list(keys), [float(p) for p in probs]
     v = F.col(value).cast("double")
-    hist = (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, v.alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_n")))
-    cum = cumulative_below(hist, keys, "_v", ["_n"], n_buckets=n_buckets)
-    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    last = F.col("_n_total") - 1
-    lo_rank = lambda t: F.floor(t["p"] * last)
-    hi_rank = lambda t: F.least(F.floor(t["p"] * last) + 1, last)
-    covers = lambda r: (r >= F.col("_n_below")) & (r < F.col("_n_below") + F.col("_n"))
-    hits = cum.select(
-        *keys, "_v", "_n_total", "_n_below", "_n",
-        F.filter(targets, lambda t: covers(lo_rank(t)) | covers(hi_rank(t))).alias("_hits"),
-    ).where(F.size("_hits") > 0)
-    exploded = hits.select(*keys, "_v", "_n_total", "_n_below", "_n", F.explode("_hits").alias("t")).select(
-        *keys, "_v", "_n_total", F.col("t.i").alias("q_index"), F.col("t.p").alias("prob"),
-        covers(lo_rank(F.col("t"))).alias("_is_lo"), covers(hi_rank(F.col("t"))).alias("_is_hi"),
-    )
-    agg = exploded.groupBy(*keys, "q_index", "prob").agg(
-        F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_hi"),
-        F.max("_n_total").alias("_count"),
-    )
-    h = F.col("prob") * (F.col("_count") - 1)
-    frac = h - F.floor(h)
-    q = F.when(frac == 0, F.col("_lo")).otherwise(F.col("_lo") + frac * (F.col("_hi") - F.col("_lo")))
-    return agg.select(*keys, "q_index", "prob", q.alias("quantile"))
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, (v + F.lit(0.0)).alias("_v")).withColumn("_b", _bracket(F.col("_v")))
+    stats = [F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    found = _hits(rows.groupBy(*keys, "_b").agg(*stats), keys, "_b", probs, True)
+    schema = T.StructType([f for f in found.schema.fields if f.name in [*keys, "_b", "_lo", "_hi", "_total"]] + [T.StructField("_below", T.LongType())])
+    values: dict[tuple, list] = {}                       # key group -> (first rank, ranks, value)
+    totals: dict[tuple, int] = {}
+
+    def settle(hits: list) -> list:
+        """Keeps the brackets of one value, returns the others."""
+        open_ = []
+        for r in hits:
+            k = tuple(r[c] for c in keys)
+            totals[k] = r["_total"]
+            if r["_lo"] == r["_hi"]:
+                values.setdefault(k, []).append((r["below"], r["n"], r["_lo"]))
+            else:
+                open_.append(r)
+        return open_
+
+    def rows_of(hits: list) -> DataFrame:
+        table = spark.createDataFrame([tuple(r["below"] if f.name == "_below" else r[f.name] for f in schema.fields) for r in hits], schema)
+        other = table.select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(keys)], F.col("_b").alias("_wb"),
+                             F.col("_lo").alias("_wlo"), F.col("_hi").alias("_whi"), "_total", "_below")
+        on = (F.col("_b") == F.col("_wb")) & F.col("_v").between(F.col("_wlo"), F.col("_whi"))
+        for i, c in enumerate(keys):
+            on &= F.col(c).eqNullSafe(F.col(f"_w{i}"))
+        return rows.join(F.broadcast(other), on)          # two brackets a probability and key group at most
+
+    open_ = settle(found.collect())
+    while open_:
+        big, small = [r for r in open_ if r["n"] > rows_to_sort], [r for r in open_ if r["n"] <= rows_to_sort]
+        if small:
+            each = rows_of(small).groupBy(*keys, "_b", "_wlo", "_total", "_below", "_v").agg(F.count(F.lit(1)).alias("n"))
+            settle(_hits(each.withColumns({"_lo": F.col("_v"), "_hi": F.col("_v")}), [*keys, "_b", "_wlo"], "_v", probs, False).collect())
+        open_ = []
+        if big:
+            part = F.floor((F.col("_v") - F.col("_wlo")) / (F.col("_whi") - F.col("_wlo")) * SUB_BRACKETS)
+            cut = rows_of(big).withColumn("_part", part).groupBy(*keys, "_b", "_wlo", "_total", "_below", "_part").agg(*stats)
+            open_ = settle(_hits(cut, [*keys, "_b", "_wlo"], "_part", probs, False).collect())
+
+    def at(k: tuple, rank: int) -> float:
+        return next(x for first, n, x in values[k] if first <= rank < first + n)
+
+    out = []
+    for k, total in totals.items():
+        for i, p in enumerate(probs):
+            h = p * (total - 1)
+            low = math.floor(h)
+            a, b = at(k, low), at(k, min(low + 1, total - 1))
+            out.append((*k, i, p, a if h == low else a + (h - low) * (b - a)))
+    fields = [f for f in rows.schema.fields if f.name in keys]
+    fields += [T.StructField("q_index", T.IntegerType()), T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType())]
+    return spark.createDataFrame(out, T.StructType(fields))
 
 
 def quantile_edges(df: DataFrame, value: str, n_bins: int, keys: Sequence[str] = ()) -> DataFrame:

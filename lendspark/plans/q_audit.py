@@ -13,6 +13,7 @@ from lendspark.operators import ranking
 from lendspark.operators.histogram import attach_edges, qcut_index, quantile_edges
 from lendspark.operators.split import stratified_split
 from lendspark.plans import q_scoring as qs
+from lendspark.plans.artefacts import published
 from lendspark.plans.oracle import fx
 from lendspark.plans.q_features import build_model_input, sql_model_input_body, sql_ratios_select
 from lendspark.plans.registry import query
@@ -135,11 +136,12 @@ def q_policy_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model input with its split, materialised once (re-read by every pass)."""
-    from lendspark.session import ensure_checkpoint_dir
+    """Model input with its split, published once. The cut values come from the applications' ids and labels alone."""
+    def build() -> DataFrame:
+        keys = fixtures.load(spark, sf_dir, "application").select("sk_id_curr", "target")
+        return stratified_split(build_model_input(spark, sf_dir), "sk_id_curr", "target", keys=keys)
 
-    ensure_checkpoint_dir(spark)
-    return stratified_split(build_model_input(spark, sf_dir), "sk_id_curr", "target").checkpoint()
+    return published(spark, sf_dir, "customer_split", build, key="sk_id_curr")
 
 
 def sql_customer_split() -> str:

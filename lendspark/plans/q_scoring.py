@@ -3,6 +3,8 @@ queries over the scored stand-in (``fx_scored``: two model scores p_a, p_b per
 application) — with their oracle SQL."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,15 +16,15 @@ from lendspark.operators import quality
 from lendspark.operators import ranking
 from lendspark.operators.histogram import exact_quantiles
 from lendspark.operators.split import stratified_split
+from lendspark.plans.artefacts import artefact, published
 from lendspark.plans.oracle import fx, r
 from lendspark.plans.q_features import build_model_input
 from lendspark.plans.registry import query
-from lendspark.session import ensure_checkpoint_dir
 from lendspark.sources import fixtures
+from lendspark.sources.versions import MissingArtefact, VersionedTable
 
 MODELS = ["p_a", "p_b"]
 PORTFOLIO_MODEL = "p_b"
-PORTFOLIO_THRESHOLD = 0.25     # explicit policy parameter (a missing threshold is an error)
 PSI_FEATURES = ["amt_income_total", "credit_income_ratio", "annuity_income_ratio", "ext_source_1", "ext_source_2",
                 "ext_source_3", "ext_source_mean", "age_years", "inst_late_ratio", "bb_dpd_ratio",
                 "cc_utilization_avg", "prev_refused_ratio"]
@@ -31,12 +33,9 @@ REPLICATES_Q = 2000          # bootstrap replicates, as in the reference
 
 
 def scored_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored applications with their split, materialised once in the shared
-    checkpoint folder: the multi-pass statistics downstream (quantile edges,
-    binning, both PSI sides) then re-read it instead of re-running the join
-    and the split windows each time."""
-    ensure_checkpoint_dir(spark)
-    return stratified_split(fixtures.load(spark, sf_dir, "scored"), "id", "target").checkpoint()
+    """Scored applications with their split, published once."""
+    return published(spark, sf_dir, "scored_split", lambda: stratified_split(fixtures.load(spark, sf_dir, "scored"), "id", "target"),
+                     contracts={"every row has a split": "count_if(split IS NULL) = 0"})
 
 
 def scored_long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,9 +45,41 @@ def scored_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.unpivot(["id", "sk_id_curr", "target", "amt_credit", "split"], MODELS, "model", "score")
 
 
-def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+def policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision policy, published once: each model's cut-off, chosen on validation rows for the highest profit."""
+    def build() -> DataFrame:
+        valid = scored_long(spark, sf_dir).where(F.col("split") == "validation")
+        return prof.best_threshold(prof.profit_curve(valid, ["model"], "score", "target", "amt_credit"), ["model"])
+
+    return published(spark, sf_dir, "policy", build, key="model", contracts={
+        "cut-offs lie in (0, 1]": "count_if(best_threshold IS NULL OR best_threshold <= 0 OR best_threshold > 1) = 0"})
+
+
+def threshold(spark: SparkSession, sf_dir: str, model: str) -> float:
+    """A model's published cut-off; none is an error."""
+    row = policy(spark, sf_dir).where(F.col("model") == model).first()
+    if row is None:
+        raise MissingArtefact(f"no cut-off is published for {model}")
+    return row["best_threshold"]
+
+
+#: What every version of the portfolio must fulfil.
+PORTFOLIO_CONTRACTS = {
+    "probabilities lie in [0, 1]": "count_if(probability IS NULL OR probability NOT BETWEEN 0 AND 1) = 0",
+    "every row is decided": "count_if(decision IS NULL OR split IS NULL) = 0",
+    "rejected rows earn nothing": f"count_if(decision = '{mon.REJECT}' AND realised_profit <> 0) = 0",
+}
+
+
+def build_portfolio(spark: SparkSession, sf_dir: str, cut: float) -> DataFrame:
     applicants = feat.row_ratios(fixtures.load(spark, sf_dir, "application"))
-    return mon.scored_portfolio(scored_split(spark, sf_dir), applicants, PORTFOLIO_MODEL, PORTFOLIO_THRESHOLD)
+    return mon.scored_portfolio(scored_split(spark, sf_dir), applicants, PORTFOLIO_MODEL, cut)
+
+
+def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published portfolio (M39): all views scan its current version."""
+    return published(spark, sf_dir, "portfolio", lambda: build_portfolio(spark, sf_dir, threshold(spark, sf_dir, PORTFOLIO_MODEL)),
+                     key="id", contracts=PORTFOLIO_CONTRACTS)
 
 
 # --- oracle building blocks ------------------------------------------------------
@@ -155,7 +186,8 @@ def sql_qcut(value: str, edges: str = "edges") -> str:
     return f"1 + len(list_filter({edges}[2:len({edges}) - 1], lambda e: e < {value}))"
 
 
-def sql_portfolio_ctes(threshold: float = PORTFOLIO_THRESHOLD, score: str = PORTFOLIO_MODEL) -> str:
+def sql_portfolio_ctes(score: str = PORTFOLIO_MODEL) -> str:
+    """The portfolio under the cut-off that earns most on validation rows (``thr``)."""
     from lendspark.plans.q_features import sql_ratios_select
 
     def band_sql(v: str, edges, labels) -> str:
@@ -164,7 +196,9 @@ def sql_portfolio_ctes(threshold: float = PORTFOLIO_THRESHOLD, score: str = PORT
         return f"CASE {parts} ELSE 'nan' END"
 
     inc_labels = ", ".join(f"'{x}'" for x in mon.INCOME_BAND_LABELS)
-    return (sql_split_ctes() + ",\n" + fx("fx_application")[len("WITH "):] + f""",
+    return (sql_split_ctes() + ",\n" + sql_grid() + ",\nvalid AS (SELECT * FROM long WHERE split = 'validation'),\n"
+            + sql_curve("valid", "model") + ",\n" + _sql_best() + ",\n" + fx("fx_application")[len("WITH "):] + f""",
+thr AS (SELECT best_threshold AS cut FROM best WHERE model = '{score}'),
 app AS (SELECT {sql_ratios_select()} FROM fx_application a),
 joined AS (
   SELECT s.id, s.sk_id_curr, s.split, s.target, s.amt_credit, s.{score} AS p,
@@ -179,9 +213,9 @@ portfolio AS (
     {r('p', 6)} AS probability,
     CAST({sql_qcut('p', 'pe.edges')} AS INTEGER) AS risk_decile,
     {band_sql('p', mon.RISK_BAND_EDGES, mon.RISK_BAND_LABELS)} AS risk_band,
-    CASE WHEN p < {threshold!r} THEN 'approve' ELSE 'reject' END AS decision,
+    CASE WHEN p < cut THEN 'approve' ELSE 'reject' END AS decision,
     target AS actual_default, amt_credit, amt_income_total,
-    CAST(ROUND(CASE WHEN p < {threshold!r} THEN CASE WHEN target = 0 THEN CAST(amt_credit AS DECIMAL(18,2)) * CAST('{prof.MARGIN!r}' AS DECIMAL(10,4))
+    CAST(ROUND(CASE WHEN p < cut THEN CASE WHEN target = 0 THEN CAST(amt_credit AS DECIMAL(18,2)) * CAST('{prof.MARGIN!r}' AS DECIMAL(10,4))
       ELSE -CAST(amt_credit AS DECIMAL(18,2)) * CAST('{prof.LGD!r}' AS DECIMAL(10,4)) END ELSE 0 END, 2) AS DOUBLE) AS realised_profit,
     {band_sql('age_years', mon.AGE_BAND_EDGES, mon.AGE_BAND_LABELS)} AS age_band,
     CASE WHEN amt_income_total IS NULL THEN 'nan' ELSE [{inc_labels}][{sql_qcut('amt_income_total', 'ie.edges')}] END AS income_band,
@@ -189,7 +223,7 @@ portfolio AS (
     coalesce(name_family_status, 'nan') AS family_status, coalesce(occupation_type, 'nan') AS occupation,
     coalesce(name_contract_type, 'nan') AS contract_type,
     region_rating_client_w_city AS region_rating, flag_not_employed AS not_employed
-  FROM joined, p_edges pe, inc_edges ie
+  FROM joined, p_edges pe, inc_edges ie, thr
 )""")
 
 
@@ -365,6 +399,33 @@ def q_portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portfolio(spark, sf_dir)
 
 
+@query("decision_policy", "M11,Q4,T20", sql=lambda: sql_split_ctes() + ",\n" + sql_grid() + ",\nvalid AS (SELECT * FROM long WHERE split = 'validation'),\n"
+       + sql_curve("valid", "model") + ",\n" + _sql_best() + "\nSELECT * FROM best")
+def q_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published cut-offs that portfolio and views decide by."""
+    return policy(spark, sf_dir)
+
+
+@query("portfolio_versions", "S6,S7,M39", sql=lambda: sql_portfolio_ctes() + f""",
+two AS (SELECT id, CASE WHEN p < CAST('{prof.FIXED_THRESHOLD!r}' AS DOUBLE) THEN 'approve' ELSE 'reject' END AS decision, target, amt_credit FROM joined)
+SELECT CAST(1 AS BIGINT) AS sequence, id, decision, realised_profit FROM portfolio
+UNION ALL
+SELECT CAST(2 AS BIGINT), id, decision, CAST(ROUND(CASE WHEN decision = 'reject' THEN 0
+  WHEN target = 0 THEN CAST(amt_credit AS DECIMAL(18,2)) * CAST('{prof.MARGIN!r}' AS DECIMAL(10,4))
+  ELSE -CAST(amt_credit AS DECIMAL(18,2)) * CAST('{prof.LGD!r}' AS DECIMAL(10,4)) END, 2) AS DOUBLE) FROM two""")
+def q_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish the portfolio, open it, publish it anew under another cut-off: the open reader keeps its version, the
+    pointer leads to the new one."""
+    table = VersionedTable(spark, f"{artefact(spark, sf_dir, 'portfolio_versions').root}-{uuid.uuid4().hex}")
+    table.publish(portfolio(spark, sf_dir), "id", PORTFOLIO_CONTRACTS, note="published cut-off")
+    first = table.current()
+    reader = table.read()
+    table.publish(build_portfolio(spark, sf_dir, prof.FIXED_THRESHOLD), "id", PORTFOLIO_CONTRACTS, note="fixed cut-off")
+    columns = ["id", "decision", "realised_profit"]
+    return reader.select(F.lit(first.sequence).cast("long").alias("sequence"), *columns).unionByName(
+        table.read().select(F.lit(table.current().sequence).cast("long").alias("sequence"), *columns))
+
+
 @query("kpi_by_split", "A14", sql=lambda: sql_portfolio_ctes() + f"""
 SELECT split, count(*) AS applications, count_if(decision = 'approve') AS approved,
   {pct("avg(CAST(decision = 'approve' AS INTEGER))")} AS approval_rate,
