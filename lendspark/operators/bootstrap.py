@@ -1,95 +1,147 @@
 """Bootstrap uncertainty of AUC (M16) and of a paired AUC difference.
 
-Resampling is a Poisson(1) bootstrap: row i gets weight w(i, r) in replicate r,
-drawn by inverse CDF from a uniform made by an integer hash of (id, r). Weights depend
-on ids only (not on order or partitioning), are reproducible, and the same
-weights serve every score column, which makes the paired test paired.
-
-Base rows are partitioned once by (group, score, salt); each row is expanded
-to its replicates inside its task and reduced there (no exchange) to a weighted
-histogram; only per-salt partial sums are shuffled. AUCs per replicate then
-come from the same two-phase cumulative histogram as the point estimate.
+Poisson bootstrap over cells: rows of equal score(s) and label are one cell of n rows, whose weight in a replicate is
+Poisson(n), the sum of its rows' Poisson(1) weights. It is drawn by inverse CDF from a 64-bit counter hash of (the
+cell's least row id, replicate): reproducible, independent of order and partitioning, and the same for every model
+that is scored on the same cells, which makes the paired test paired.
+
+Rows are reduced to cells before anything is drawn. Cells are range-partitioned by score once; a task draws all
+replicates of its cells block by block and keeps three numbers a replicate: positives, negatives and the pairs ordered
+inside its range. Those small sums, not rows x replicates, are exchanged; pairs across ranges follow from them. So
+time follows the number of distinct cells, and memory the block.
 """
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lendspark.operators.histogram import cumulative_below, exact_quantiles
+from lendspark.operators.histogram import cumulative_below
 
 REPLICATES = 2000
-MAX_WEIGHT = 12
-
-
-def poisson1_cdf(max_k: int = MAX_WEIGHT) -> list[float]:
-    """Cumulative P(W <= k) of Poisson(1), k = 0..max_k (fixed thresholds)."""
-    out, acc, term = [], 0.0, math.exp(-1.0)
-    for k in range(max_k + 1):
-        acc += term
-        out.append(acc)
-        term /= k + 1
+CELLS_PER_TASK = 200_000
+DRAWS_AT_ONCE = 1 << 21
+EXACT_TABLE = 500       # cells of more rows start their table near the mean: exp(-n) would vanish
+
+# The increment and multipliers of the counter hash (a published 64-bit mixer).
+GAMMA, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+
+
+def table_length(n: int) -> int:
+    return n + int(12 * math.sqrt(n)) + 12
+
+
+def poisson_table(n: int) -> tuple[int, np.ndarray]:
+    """The first count k and P(W <= k), P(W <= k + 1), ... of Poisson(n), as far as doubles tell them from 0 and 1."""
+    if n <= EXACT_TABLE:
+        out, term = [], math.exp(-n)
+        acc = term
+        for k in range(1, table_length(n) + 1):
+            out.append(acc)
+            term = term * n / k
+            acc += term
+        return 0, np.array(out)
+    first = max(0, n - int(12 * math.sqrt(n)))
+    k = np.arange(first, table_length(n), dtype=np.float64)
+    log_p = np.concatenate([[first * math.log(n) - n - math.lgamma(first + 1)], np.log(n / k[1:])])
+    return first, np.cumsum(np.exp(np.cumsum(log_p)))
+
+
+def uniforms(ids: np.ndarray, replicates: int) -> np.ndarray:
+    """U[0, 1) of each (id, replicate)."""
+    with np.errstate(over="ignore"):
+        z = ids.astype(np.uint64)[:, None] + np.uint64(GAMMA) * np.arange(1, replicates + 1, dtype=np.uint64)[None, :]
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(MIX_1)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(MIX_2)
+        return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
+
+
+def cell_weights(ids: np.ndarray, n: np.ndarray, replicates: int) -> np.ndarray:
+    """Weights (cells x replicates)."""
+    u, out = uniforms(ids, replicates), np.empty((len(ids), replicates))
+    for rows in np.unique(n):
+        first, table = poisson_table(int(rows))
+        own = n == rows
+        out[own] = first + np.searchsorted(table, u[own], side="right")
     return out
 
 
-# Fixed integer mixing constants (prime modulus < 2^31 keeps squares in BIGINT).
-HASH_PRIME = 2147483647
-HASH_A, HASH_B, HASH_C, HASH_D, HASH_E = 48271, 69621, 12345, 7, 11
-
-
-def uniform_hash(id_col: str, replicate: Column) -> Column:
-    """U[0,1) from an integer hash of (id, replicate): a linear mix followed by
-    two squarings modulo a prime. Pure BIGINT arithmetic — cheap, codegen'd and
-    bit-identical in any SQL engine."""
-    p = F.lit(HASH_PRIME)
-    x = (F.col(id_col).cast("long") % p * F.lit(HASH_A) + (replicate.cast("long") + 1) * F.lit(HASH_B) + F.lit(HASH_C)) % p
-    x = (x * x + F.lit(HASH_D)) % p
-    x = (x * x + F.lit(HASH_E)) % p
-    return x.cast("double") / F.lit(float(HASH_PRIME))
-
-
-def poisson_weight(u: Column) -> Column:
-    cdf = poisson1_cdf()
-    expr = F.when(u < F.lit(cdf[0]), F.lit(0))
-    for k, c in enumerate(cdf[1:], start=1):
-        expr = expr.when(u < F.lit(c), F.lit(k))
-    return expr.otherwise(F.lit(MAX_WEIGHT + 1))
-
-
-def replicate_weights(df: DataFrame, id_col: str, replicates: int = REPLICATES) -> DataFrame:
-    """(row columns..., replicate, w) for every replicate (w may be 0).
-
-    The expansion multiplies the work by ``replicates``; a small input (few
-    partitions) is first spread over the cluster's parallelism so that the
-    expansion never runs in a handful of tasks."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        df = df.repartition(parallelism, id_col)
-    d = df.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    # the uniform is its own column so the 13-way CASE reads it instead of
-    # re-evaluating the hash in every branch
-    # (no ``w > 0`` filter: the optimizer would push it below the projection
-    # and inline the hash into every CASE branch; zero weights add nothing)
-    d = d.withColumn("_u", uniform_hash(id_col, F.col("replicate")))
-    return d.withColumn("w", poisson_weight(F.col("_u"))).drop("_u")
-
-
-ROWS_PER_WINDOW = 200_000
-
-
-def buckets_for(df: DataFrame, score: str) -> int:
-    """Range buckets per replicate so that one window partition holds at most
-    ~200k distinct scores (one small count job on the distinct scores)."""
-    distinct = df.select(score).distinct().count()
-    return max(1, math.ceil(distinct / ROWS_PER_WINDOW))
+def range_sums(score: np.ndarray, label: np.ndarray, n: np.ndarray, ids: np.ndarray, replicates: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positives, negatives and ordered pairs (ties count half) of each replicate, over cells in order of score."""
+    positive, negative, pairs = (np.zeros(replicates) for _ in range(3))
+    step, held = max(1, DRAWS_AT_ONCE // replicates), None       # held: score and sums of a value that may go on
+
+    def close(pos: np.ndarray, neg: np.ndarray) -> None:
+        nonlocal positive, negative, pairs
+        below = negative + np.cumsum(neg, axis=0) - neg
+        pairs = pairs + (pos * (below + 0.5 * neg)).sum(axis=0)
+        positive, negative = positive + pos.sum(axis=0), negative + neg.sum(axis=0)
+
+    for at in range(0, len(score), step):
+        s, y = score[at:at + step], label[at:at + step, None]
+        w = cell_weights(ids[at:at + step], n[at:at + step], replicates)
+        first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+        pos, neg = np.add.reduceat(w * y, first, axis=0), np.add.reduceat(w * (1 - y), first, axis=0)
+        if held is not None:
+            if held[0] == s[0]:
+                pos[0] += held[1]
+                neg[0] += held[2]
+            else:
+                close(held[1][None], held[2][None])
+        close(pos[:-1], neg[:-1])
+        held = (s[-1], pos[-1], neg[-1])
+    if held is not None:
+        close(held[1][None], held[2][None])
+    return positive, negative, pairs
+
+
+def _sums(groups: list[str], replicates: int):
+    def run(batches):
+        from pyspark import TaskContext
+
+        cells = pa.Table.from_batches(list(batches)) if (batches := [b for b in batches if b.num_rows]) else None
+        if cells is None:                                  # at most about CELLS_PER_TASK rows otherwise
+            return
+        keys = list(zip(*[cells[g].to_pylist() for g in groups], strict=True)) if groups else [()] * cells.num_rows
+        score, label, n, ids = (cells[c].to_numpy() for c in ("_s", "_y", "_n", "_id"))
+        starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+        for a, b in zip(starts, [*starts[1:], len(keys)], strict=True):
+            sums = range_sums(score[a:b], label[a:b], n[a:b], ids[a:b], replicates)
+            lists = [pa.array([x], pa.list_(pa.float64())) for x in sums]
+            yield pa.RecordBatch.from_arrays([*[cells[g].combine_chunks()[a:a + 1] for g in groups], pa.array([TaskContext.get().partitionId()], pa.int32()), *lists],
+                                             [*groups, "part", "pos", "neg", "pairs"])
+
+    return run
+
+
+def replicate_aucs(cells: DataFrame, groups: Sequence[str], replicates: int = REPLICATES) -> DataFrame:
+    """(groups..., replicate, auc) from cells (groups..., _s score, _y label, _n rows, _id); NULL where a replicate has
+    only one class."""
+    groups, spark = list(groups), cells.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(cells.count() / CELLS_PER_TASK))
+    kinds = ", ".join(f"`{g}` {cells.schema[g].dataType.simpleString()}" for g in groups)
+    ordered = cells.repartitionByRange(parts, *groups, "_s").sortWithinPartitions(*groups, "_s")
+    sums = ordered.mapInArrow(_sums(groups, replicates), f"{kinds}{', ' if groups else ''}part int, pos array<double>, neg array<double>, pairs array<double>")
+    each = sums.select(*groups, "part", F.posexplode(F.arrays_zip("pos", "neg", "pairs")).alias("replicate", "x")).select(
+        *groups, "part", "replicate", "x.*")               # ranges x replicates rows
+    below = F.coalesce(F.sum("neg").over(Window.partitionBy(*groups, "replicate").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    total = each.withColumn("pairs", F.col("pairs") + F.col("pos") * below).groupBy(*groups, "replicate").agg(
+        F.sum("pairs").alias("pairs"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    return total.select(*groups, "replicate", F.when((F.col("p") > 0) & (F.col("n") > 0), F.col("pairs") / (F.col("p") * F.col("n"))).alias("auc"))
+
+
+def cells_of(df: DataFrame, by: Sequence[str], id_col: str) -> DataFrame:
+    """Rows of equal ``by`` as one cell with its rows ``_n`` and least id ``_id``."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min(F.col(id_col).cast("long")).alias("_id"))
 
 
 def weighted_auc(df: DataFrame, groups: Sequence[str], score: str, label: str, weight: str | None = None,
                  n_buckets: int = 256) -> DataFrame:
-    """Mid-rank AUC per group from a weighted histogram; NULL when a group has
-    only one class (the replicate is skipped downstream)."""
+    """Mid-rank AUC per group from a weighted histogram; NULL when a group has only one class."""
     groups = list(groups)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     y = F.col(label).cast("double")
@@ -103,93 +155,41 @@ def weighted_auc(df: DataFrame, groups: Sequence[str], score: str, label: str, w
                                       F.col("_num") / (F.col("_p") * F.col("_n"))).alias("auc"))
 
 
-ROWS_PER_TASK = 50_000_000      # generated (row, replicate) pairs one hot cell may put on one task
-
-
-def replicate_histogram(df: DataFrame, groups: Sequence[str], id_col: str, score: str, label: str,
-                        replicates: int = REPLICATES) -> DataFrame:
-    """Weighted (groups, replicate, score) histogram of all replicates.
-
-    The base rows are hash-partitioned ONCE by (groups, score); the replicate
-    expansion and the aggregation by (groups, replicate, score) then run inside
-    those tasks with no further exchange (the partitioning already clusters the
-    keys), so only base rows cross the network. A hot score cell (measured once)
-    is salted by a hash of the id over as many tasks as needed to keep each
-    below ROWS_PER_TASK expanded rows; the per-salt sums are then combined in a
-    second, small aggregation."""
-    groups = list(groups)
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    s_col = F.col(score).cast("double")
-    hottest = df.groupBy(*groups, s_col.alias("_s")).count().agg(F.max("count")).first()[0] or 0   # one value
-    salts = max(1, math.ceil(hottest * replicates / ROWS_PER_TASK))
-    base = df.select(*groups, id_col, s_col.alias("_s"), F.col(label).cast("double").alias("_y"),
-                     F.pmod(F.xxhash64(id_col), F.lit(salts)).alias("_salt"))
-    keys = [*groups, "_s"] + (["_salt"] if salts > 1 else [])
-    base = base.repartition(parts, *keys)
-    d = base.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))))
-    d = d.withColumn("_u", uniform_hash(id_col, F.col("replicate")))
-    d = d.withColumn("w", poisson_weight(F.col("_u")).cast("double"))
-    lvl1 = d.groupBy(*groups, "replicate", *keys[len(groups):]).agg(
-        F.sum(F.col("w") * F.col("_y")).alias("pos"), F.sum(F.col("w") * (F.lit(1.0) - F.col("_y"))).alias("neg"))
-    if salts == 1:
-        return lvl1
-    return lvl1.groupBy(*groups, "replicate", "_s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-
-
-def auc_from_histogram(hist: DataFrame, groups: Sequence[str], n_buckets: int) -> DataFrame:
-    cum = cumulative_below(hist, list(groups), "_s", ["pos", "neg"], n_buckets=n_buckets)
-    auc = cum.groupBy(*groups).agg(
-        F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * 0.5)).alias("_num"),
-        F.max("pos_total").alias("_p"), F.max("neg_total").alias("_n"))
-    return auc.select(*groups, F.when((F.col("_p") > 0) & (F.col("_n") > 0),
-                                      F.col("_num") / (F.col("_p") * F.col("_n"))).alias("auc"))
-
-
-def replicate_aucs(df: DataFrame, groups: Sequence[str], id_col: str, score: str, label: str,
-                   replicates: int = REPLICATES) -> DataFrame:
-    nb = buckets_for(df, score)
-    hist = replicate_histogram(df, groups, id_col, score, label, replicates)
-    return auc_from_histogram(hist, [*groups, "replicate"], nb)
+def _usable(df: DataFrame, scores: Sequence[str], label: str) -> DataFrame:
+    for s in scores:
+        df = df.where(F.col(s).isNotNull() & ~F.isnan(F.col(s).cast("double")))
+    return df.where(F.col(label).isNotNull())
 
 
 def bootstrap_auc(df: DataFrame, groups: Sequence[str], id_col: str, score: str, label: str,
                   replicates: int = REPLICATES) -> DataFrame:
-    """Per group the AUC and its 95 % percentile interval."""
-    groups = list(groups)
+    """Per group the AUC and its 95 % percentile interval. Rows without score or label are left out."""
+    groups, df = list(groups), _usable(df, [score], label)
+    named = df.select(*groups, F.col(score).cast("double").alias("_s"), F.col(label).cast("double").alias("_y"), id_col)
+    reps = replicate_aucs(cells_of(named, [*groups, "_s", "_y"], id_col), groups, replicates).where(F.col("auc").isNotNull())
+    ends = F.percentile("auc", F.array(F.lit(0.025), F.lit(0.975)))        # of ``replicates`` values a group
+    ci = reps.groupBy(*groups).agg(ends[0].alias("ci_low"), ends[1].alias("ci_high"), F.count(F.lit(1)).alias("replicates"))
     point = weighted_auc(df, groups, score, label)
-    reps = replicate_aucs(df, groups, id_col, score, label, replicates)
-    # one small row per (group, replicate): materialise once (lineage cut in
-    # the shared checkpoint folder) instead of recomputing the expansion
-    reps = reps.where(F.col("auc").isNotNull()).checkpoint()
-    q = exact_quantiles(reps, "auc", [0.025, 0.975], groups)
-    ci = q.groupBy(*groups).agg(F.max(F.when(F.col("q_index") == 0, F.col("quantile"))).alias("ci_low"),
-                                F.max(F.when(F.col("q_index") == 1, F.col("quantile"))).alias("ci_high"))
-    n = reps.groupBy(*groups).agg(F.count(F.lit(1)).alias("replicates"))
-    return point.join(ci, groups, "left").join(n, groups, "left") if groups else \
-        point.withColumn("_k", F.lit(1)).join(ci.withColumn("_k", F.lit(1)), "_k").join(
-            n.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    if groups:
+        return point.join(ci, groups, "left")
+    return point.withColumn("_k", F.lit(1)).join(ci.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
 
 
 def paired_difference(df: DataFrame, id_col: str, score_a: str, score_b: str, label: str,
                       replicates: int = REPLICATES) -> DataFrame:
-    """AUC(a) − AUC(b) with a paired percentile interval and the two-sided
-    p = min(1, 2·min(P(d ≤ 0), P(d ≥ 0))). ``df`` is wide (both scores per row)."""
-    long = df.select(id_col, label, score_a, score_b).unpivot([id_col, label], [score_a, score_b], "model", "score")
-    point = weighted_auc(long, ["model"], "score", label)
-    reps = replicate_aucs(long, ["model"], id_col, "score", label, replicates).checkpoint()
-    d = reps.groupBy("replicate").agg(
-        (F.max(F.when(F.col("model") == score_a, F.col("auc"))) - F.max(F.when(F.col("model") == score_b, F.col("auc"))))
-        .alias("d")).where(F.col("d").isNotNull()).withColumn("_k", F.lit(1))
-    q = exact_quantiles(d, "d", [0.025, 0.975], ["_k"])
-    ci = q.groupBy("_k").agg(F.max(F.when(F.col("q_index") == 0, F.col("quantile"))).alias("ci_low"),
-                             F.max(F.when(F.col("q_index") == 1, F.col("quantile"))).alias("ci_high"))
-    tail = d.groupBy("_k").agg(F.avg((F.col("d") <= 0).cast("double")).alias("_le"),
-                               F.avg((F.col("d") >= 0).cast("double")).alias("_ge"),
-                               F.count(F.lit(1)).alias("replicates"))
-    obs = point.groupBy().agg(
-        (F.max(F.when(F.col("model") == score_a, F.col("auc"))) - F.max(F.when(F.col("model") == score_b, F.col("auc"))))
-        .alias("difference")).withColumn("_k", F.lit(1))
-    out = obs.join(ci, "_k").join(tail, "_k")     # one row each, joined on a constant key
-    return out.select(F.lit(score_a).alias("model_a"), F.lit(score_b).alias("model_b"), "difference", "ci_low", "ci_high",
-                      F.least(F.lit(1.0), 2 * F.least("_le", "_ge")).alias("p_value"), "replicates")
+    """AUC(a) − AUC(b) with a paired percentile interval and the two-sided p = min(1, 2·min(P(d ≤ 0), P(d ≥ 0))).
+    ``df`` is wide (both scores per row); rows without both scores and the label are left out."""
+    df = _usable(df, [score_a, score_b], label).select(
+        id_col, F.col(label).cast("double").alias("_y"), F.col(score_a).cast("double").alias(score_a), F.col(score_b).cast("double").alias(score_b))
+    cells = cells_of(df, [score_a, score_b, "_y"], id_col).unpivot(["_y", "_n", "_id"], [score_a, score_b], "model", "_s")
+    reps = replicate_aucs(cells, ["model"], replicates)
+    of = lambda frame, m: F.max(F.when(F.col("model") == m, F.col("auc")))
+    d = reps.groupBy("replicate").agg((of(reps, score_a) - of(reps, score_b)).alias("d")).where(F.col("d").isNotNull())
+    ends = F.percentile("d", F.array(F.lit(0.025), F.lit(0.975)))          # of ``replicates`` values
+    ci = d.agg(ends[0].alias("ci_low"), ends[1].alias("ci_high"), F.avg((F.col("d") <= 0).cast("double")).alias("_le"),
+               F.avg((F.col("d") >= 0).cast("double")).alias("_ge"), F.count(F.lit(1)).alias("replicates"), F.lit(1).alias("_k"))
+    point = weighted_auc(df.unpivot([id_col, "_y"], [score_a, score_b], "model", "score"), ["model"], "score", "_y")
+    difference = point.agg((of(point, score_a) - of(point, score_b)).alias("difference"), F.lit(1).alias("_k"))
+    return difference.join(ci, "_k").select(              # one row each, joined on a constant key
+        F.lit(score_a).alias("model_a"), F.lit(score_b).alias("model_b"), "difference", "ci_low", "ci_high",
+        F.least(F.lit(1.0), 2 * F.least("_le", "_ge")).alias("p_value"), "replicates")

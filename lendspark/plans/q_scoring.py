@@ -529,34 +529,48 @@ def q_single_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- bootstrap (M16, M17) -------------------------------------------------------------
 
-def sql_boot_ctes(source: str, groups: str, replicates: int) -> str:
-    """Oracle: Poisson(1) weights from md5('<id>:<r>') by the same inverse CDF."""
-    from lendspark.operators.bootstrap import (HASH_A, HASH_B, HASH_C, HASH_D, HASH_E, HASH_PRIME, MAX_WEIGHT,
-                                               poisson1_cdf)
-
-    cdf = poisson1_cdf()
-    case = " ".join(f"WHEN u < CAST('{c!r}' AS DOUBLE) THEN {k}" for k, c in enumerate(cdf))
-    return f"""rw0 AS (
-  SELECT s.*, r.range AS replicate, (s.id % {HASH_PRIME} * {HASH_A} + (r.range + 1) * {HASH_B} + {HASH_C}) % {HASH_PRIME} AS x1
-  FROM {source} s, range({replicates}) r
+def sql_boot_ctes(cells: str, replicates: int) -> str:
+    """Oracle: AUC of each replicate (``ba``) from ``cells`` (model, score, target, n, id): the same counter hash of (id,
+    replicate) in 128-bit arithmetic, the same inverse CDF of Poisson(n)."""
+    from lendspark.operators.bootstrap import GAMMA, MIX_1, MIX_2
+
+    word, low = "18446744073709551616::UHUGEINT", "4294967295::UBIGINT"
+
+    def joined(high: str, rest: str) -> str:
+        """64 bits from sums of halves (``rest`` below 2^64, its carry goes to ``high``)."""
+        return f"((({high}) + (({rest}) >> 32)) & {low}) * 4294967296::UBIGINT + (({rest}) & {low})"
+
+    def step(source: str, shift: int, by: int) -> str:
+        """(z xor z >> shift) * by, modulo 2^64, in halves."""
+        lo, hi = f"{by % 2 ** 32}::UBIGINT", f"{by // 2 ** 32}::UBIGINT"
+        return (f"SELECT * EXCLUDE (x) REPLACE ({joined(f'(((x >> 32) * {lo}) & {low}) + (((x & {low}) * {hi}) & {low})', f'(x & {low}) * {lo}')} AS z) "
+                f"FROM (SELECT *, xor(z, z >> {shift}) AS x FROM {source})")
+
+    return f"""cdf AS (
+  WITH RECURSIVE p AS (
+    SELECT n, 0 AS k, exp(-n::DOUBLE) AS t, exp(-n::DOUBLE) AS acc FROM (SELECT DISTINCT n::BIGINT AS n FROM {cells})
+    UNION ALL SELECT n, k + 1, t * n / (k + 1), acc + t * n / (k + 1) FROM p WHERE k + 1 < n + floor(12 * sqrt(n)) + 12
+  ) SELECT n, list(acc ORDER BY k) AS table_ FROM p GROUP BY n
 ),
-rw AS (
-  SELECT * EXCLUDE (x1, x2, x3), CAST(x3 AS DOUBLE) / {float(HASH_PRIME)!r} AS u
-  FROM (SELECT *, (x2 * x2 + {HASH_E}) % {HASH_PRIME} AS x3 FROM (SELECT *, (x1 * x1 + {HASH_D}) % {HASH_PRIME} AS x2 FROM rw0))
-),
-rw2 AS (SELECT * EXCLUDE (u), CASE {case} ELSE {MAX_WEIGHT + 1} END AS w FROM rw),
+reps AS MATERIALIZED (SELECT range AS replicate, (((range + 1)::UHUGEINT * {GAMMA}::UHUGEINT) % {word})::UBIGINT AS g FROM range({replicates})),
+uc AS MATERIALIZED (SELECT *, ((id::HUGEINT + 18446744073709551616::HUGEINT)::UHUGEINT % {word})::UBIGINT AS i FROM {cells}),
+z0 AS (SELECT uc.* EXCLUDE (i), replicate, {joined('(i >> 32) + (g >> 32)', f'(i & {low}) + (g & {low})')} AS z FROM uc, reps),
+z1 AS ({step('z0', 30, MIX_1)}),
+z2 AS ({step('z1', 27, MIX_2)}),
+rw AS (SELECT * EXCLUDE (z), (xor(z, z >> 31) >> 11)::DOUBLE / 9007199254740992 AS u FROM z2),
+rw2 AS (SELECT rw.*, len(list_filter(table_, lambda c: c <= u)) AS w FROM rw JOIN cdf USING (n)),
 bh AS (
-  SELECT {groups}, replicate, score, sum(w * target) AS pos, sum(w * (1 - target)) AS neg
-  FROM rw2 GROUP BY {groups}, replicate, score
+  SELECT model, replicate, score, sum(w * target) AS pos, sum(w * (1 - target)) AS neg
+  FROM rw2 GROUP BY model, replicate, score
 ),
 bc AS (
-  SELECT *, coalesce(sum(neg) OVER (PARTITION BY {groups}, replicate ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
-         sum(pos) OVER (PARTITION BY {groups}, replicate) AS pt, sum(neg) OVER (PARTITION BY {groups}, replicate) AS nt
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, replicate ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below,
+         sum(pos) OVER (PARTITION BY model, replicate) AS pt, sum(neg) OVER (PARTITION BY model, replicate) AS nt
   FROM bh
 ),
 ba AS (
-  SELECT {groups}, replicate, CASE WHEN max(pt) > 0 AND max(nt) > 0 THEN sum(pos * (neg_below + neg * 0.5)) / (max(pt) * max(nt)) END AS auc
-  FROM bc GROUP BY {groups}, replicate
+  SELECT model, replicate, CASE WHEN max(pt) > 0 AND max(nt) > 0 THEN sum(pos * (neg_below + neg * 0.5)) / (max(pt) * max(nt)) END AS auc
+  FROM bc GROUP BY model, replicate
 )"""
 
 
@@ -566,7 +580,8 @@ BOOT_SPLIT = "test"
 @query("auc_bootstrap", "M16", sql=lambda: sql_split_ctes() + f""",
 src AS (SELECT id, model, score, CAST(target AS DOUBLE) AS target FROM long WHERE split = '{BOOT_SPLIT}'),
 {sql_ranking('model', 'src')},
-{sql_boot_ctes('src', 'model', REPLICATES_Q)}
+cells AS (SELECT model, score, target, count(*) AS n, min(id) AS id FROM src GROUP BY model, score, target),
+{sql_boot_ctes('cells', REPLICATES_Q)}
 SELECT m.model, m.auc, quantile_cont(ba.auc, 0.025) AS ci_low, quantile_cont(ba.auc, 0.975) AS ci_high, count(*) AS replicates
 FROM metrics m JOIN ba USING (model) WHERE ba.auc IS NOT NULL GROUP BY m.model, m.auc""")
 def q_auc_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -579,7 +594,9 @@ def q_auc_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("paired_bootstrap", "M17", sql=lambda: sql_split_ctes() + f""",
 src AS (SELECT id, model, score, CAST(target AS DOUBLE) AS target FROM long WHERE split = '{BOOT_SPLIT}'),
 {sql_ranking('model', 'src')},
-{sql_boot_ctes('src', 'model', REPLICATES_Q)},
+pairs AS (SELECT p_a, p_b, CAST(target AS DOUBLE) AS target, count(*) AS n, min(id) AS id FROM split WHERE split = '{BOOT_SPLIT}' GROUP BY p_a, p_b, target),
+cells AS (SELECT 'p_a' AS model, p_a AS score, target, n, id FROM pairs UNION ALL SELECT 'p_b', p_b, target, n, id FROM pairs),
+{sql_boot_ctes('cells', REPLICATES_Q)},
 d AS (SELECT replicate, max(CASE WHEN model = 'p_a' THEN auc END) - max(CASE WHEN model = 'p_b' THEN auc END) AS d
       FROM ba GROUP BY replicate HAVING d IS NOT NULL)
 SELECT 'p_a' AS model_a, 'p_b' AS model_b,
