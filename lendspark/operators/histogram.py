@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lendspark.functions.local import local_frame
+
 BUCKET = "_range_bucket"
 
 
@@ -164,7 +166,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
         return open_
 
     def rows_of(hits: list) -> DataFrame:
-        table = spark.createDataFrame([tuple(r["below"] if f.name == "_below" else r[f.name] for f in schema.fields) for r in hits], schema)
+        table = local_frame(spark, [tuple(r["below"] if f.name == "_below" else r[f.name] for f in schema.fields) for r in hits], schema)
         other = table.select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(keys)], F.col("_b").alias("_wb"),
                              F.col("_lo").alias("_wlo"), F.col("_hi").alias("_whi"), "_total", "_below")
         on = (F.col("_b") == F.col("_wb")) & F.col("_v").between(F.col("_wlo"), F.col("_whi"))
@@ -196,7 +198,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
             out.append((*k, i, p, a if h == low else a + (h - low) * (b - a)))
     fields = [f for f in rows.schema.fields if f.name in keys]
     fields += [T.StructField("q_index", T.IntegerType()), T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType())]
-    return spark.createDataFrame(out, T.StructType(fields))
+    return local_frame(spark, out, T.StructType(fields))
 
 
 def quantile_edges(df: DataFrame, value: str, n_bins: int, keys: Sequence[str] = ()) -> DataFrame:

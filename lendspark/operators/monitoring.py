@@ -57,14 +57,9 @@ def scored_portfolio(scored: DataFrame, applicants: DataFrame, score: str, thres
     )
     p = F.col(score).cast("double")
     d = scored.join(a, "sk_id_curr", "left").withColumn("_p", p)
-    # one exact-quantile pass for both banded columns: quintile probabilities
-    # are a subset of the decile ones (bounded result: 2 × 11 values)
-    deciles = [i / 10 for i in range(11)]
-    long = d.select(F.col("_p").alias("_pv"), F.col("amt_income_total").cast("double").alias("_iv")).unpivot(
-        [], ["_pv", "_iv"], "_f", "_v")
-    q = exact_quantiles(long, "_v", deciles, ["_f"]).collect()
-    p_edges = sorted({r["quantile"] for r in q if r["_f"] == "_pv"})
-    inc_edges = sorted({r["quantile"] for r in q if r["_f"] == "_iv" and r["q_index"] % 2 == 0})
+    # 11 and 6 values; the scores' own need no join
+    p_edges = sorted({r["quantile"] for r in exact_quantiles(scored, score, [i / 10 for i in range(11)]).collect()})
+    inc_edges = sorted({r["quantile"] for r in exact_quantiles(d, "amt_income_total", [i / 5 for i in range(6)]).collect()})
     d = d.withColumn("edges", F.array(*[F.lit(float(x)) for x in p_edges]).cast("array<double>"))
     d = d.withColumn("risk_decile", qcut_index("_p", "edges"))
     d = d.withColumn("edges", F.array(*[F.lit(float(x)) for x in inc_edges]).cast("array<double>"))

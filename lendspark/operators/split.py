@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lendspark.functions.local import local_frame
+
 TEST_SHARE = 0.20
 VALID_SHARE = 0.20
 SPLIT_NAMES = ("test", "validation", "train")
@@ -26,7 +28,7 @@ def _hash(id_col: str) -> Column:
 def _wanted(counted: DataFrame, order: list[str], cuts: list[dict]) -> list[tuple[dict, dict]]:
     """For each cut the counted group (label, prefix, ..., n) that holds its rank, with the rows ``below`` it."""
     spark = counted.sparkSession
-    ranks = spark.createDataFrame([(i, c["stratum"], c["prefix"], c["rank"]) for i, c in enumerate(cuts)], "cut int, _s int, _p string, rank long")
+    ranks = local_frame(spark, [(i, c["stratum"], c["prefix"], c["rank"]) for i, c in enumerate(cuts)], "cut int, _s int, _p string, rank long")
     w = Window.partitionBy("_stratum", "_prefix").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     below = counted.withColumn("below", F.coalesce(F.sum("n").over(w), F.lit(0)))
     hit = below.join(F.broadcast(ranks), (F.col("_stratum") == F.col("_s")) & (F.col("_prefix") == F.col("_p"))
@@ -45,13 +47,13 @@ def cut_values(keys: DataFrame, id_col: str, label: str, shares: list[float], ro
         for i in range(len(shares)):
             out.append({"label": r[label], "stratum": number, "share": i, "rank": r[f"r{i}"], "prefix": "", "hash": None, "id": None,
                         "all": r[f"r{i}"] >= r["n"]})
-    names = spark.createDataFrame([(number, r[label]) for number, r in enumerate(strata)], f"_stratum int, _label {keys.schema[label].dataType.simpleString()}")
+    names = local_frame(spark, [(number, r[label]) for number, r in enumerate(strata)], f"_stratum int, _label {keys.schema[label].dataType.simpleString()}")
     rows = keys.select(F.col(label).alias("_y"), F.col(id_col).alias("_id"), _hash(id_col).alias("_h")).join(
         F.broadcast(names), F.col("_y").eqNullSafe(F.col("_label"))).drop("_y", "_label")
 
     def of(wanted: list[dict]) -> DataFrame:
         """Rows whose hash starts as one of the cuts' prefixes."""
-        some = spark.createDataFrame(sorted({(c["stratum"], c["prefix"]) for c in wanted}), "_s int, _prefix string")
+        some = local_frame(spark, sorted({(c["stratum"], c["prefix"]) for c in wanted}), "_s int, _prefix string")
         return rows.join(F.broadcast(some), (F.col("_stratum") == F.col("_s")) & F.col("_h").startswith(F.col("_prefix"))).drop("_s")
 
     open_ = [c for c in out if not c["all"] and c["rank"] > 0]

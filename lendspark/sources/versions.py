@@ -22,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lendspark.functions.local import local_frame
 from lendspark.sources.tables import assert_unique
 
 POINTER = "sequence long, version string, rows long, note string, published timestamp"
@@ -99,7 +100,7 @@ class VersionedTable:
                 assert_unique(self.read(written), key)
             except ValueError as e:
                 raise ContractError(f"{self.root}: {e}") from e
-        row = self.spark.createDataFrame([(sequence, name, written.rows, note)], "sequence long, version string, rows long, note string")
+        row = local_frame(self.spark, [(sequence, name, written.rows, note)], "sequence long, version string, rows long, note string")
         row.withColumn("published", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/pointer")
         won = next(v for v in self.history() if v.sequence == sequence)
         if won.name != name:
