@@ -7,9 +7,9 @@
   long form.
 * WOE = ln(good share / bad share) with 0.5 added to each bin count (keeps
   empty cells finite); IV = Σ (good share − bad share) · WOE; JS divergence.
-* Monotone merge of adjacent numeric bins, then a ChiMerge step (adjacent bins
-  whose event rates do not differ significantly are merged), runs per feature
-  on the small bin table (``applyInPandas``, ≤ 11 rows per group).
+* Levels of less than one per cent of the rows are pooled before anything is
+  collected. Numeric bins are pooled to a monotone event rate (pool adjacent
+  violators) by column expressions on the small bin table.
 * The WOE transform is pure column expressions generated from the (bounded)
   bin table — no join, no shuffle.
 * Correlation pruning uses ``ml.stat.Correlation`` (one pass, k×k matrix) and a
@@ -22,7 +22,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -38,11 +37,14 @@ CORRELATION_LIMIT = 0.75
 SMOOTHING = 0.5
 PDO, PDO_ODDS, PDO_POINTS = 20.0, 20.0, 600.0
 MISSING = "missing"
+POOLED = "*"            # the bin of all rare levels of a categorical feature
+RARE_SHARE = 0.01       # levels of a smaller share of the rows are rare
 N_PREBINS = 10
 
 
 def numeric_bin_label(idx: Column) -> Column:
-    return F.concat(F.lit("q"), F.lpad(idx.cast("string"), 2, "0"))
+    text = idx.cast("string")
+    return F.concat(F.lit("q"), F.when(F.length(text) < 2, F.lpad(text, 2, "0")).otherwise(text))
 
 
 def long_numeric(df: DataFrame, features: Sequence[str], id_col: str, label: str) -> DataFrame:
@@ -60,6 +62,15 @@ def prebin_edges(train: DataFrame, numeric: Sequence[str], id_col: str, label: s
     return quantile_edges(long_numeric(train, numeric, id_col, label), "value", n_bins, ["feature"])
 
 
+def frequent_levels(levels: DataFrame, share: float = RARE_SHARE) -> DataFrame:
+    """(feature, level, _frequent): levels of at least ``share`` of their feature's rows, so at most 1 / share a feature
+    however many there are. All others are pooled."""
+    counts = levels.where(F.col("level").isNotNull()).groupBy("feature", "level").agg(F.count(F.lit(1)).alias("_c"))
+    total = counts.groupBy("feature").agg(F.sum("_c").alias("_all"))                  # one row a feature
+    kept = counts.join(F.broadcast(total), "feature").where(F.col("_c") >= F.lit(share) * F.col("_all"))
+    return F.broadcast(kept.select("feature", "level", F.lit(True).alias("_frequent")))
+
+
 def assign_bins(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], edges: DataFrame,
                 id_col: str, label: str) -> DataFrame:
     """Long form (id, label, feature, bin, lower, upper) for every feature."""
@@ -77,26 +88,30 @@ def assign_bins(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     )
     if not categorical:
         return num
-    cat = long_categorical(df, categorical, id_col, label).select(
+    levels = long_categorical(df, categorical, id_col, label)
+    cat = levels.join(frequent_levels(levels), ["feature", "level"], "left").select(
         id_col, label, "feature",
-        F.when(F.col("level").isNull(), F.lit(MISSING)).otherwise(F.concat(F.lit("="), F.col("level"))).alias("bin"),
+        F.when(F.col("level").isNull(), F.lit(MISSING)).when(F.col("_frequent"), F.concat(F.lit("="), F.col("level"))).otherwise(F.lit(POOLED)).alias("bin"),
         F.lit(None).cast("double").alias("lower"), F.lit(None).cast("double").alias("upper"),
     )
     return num.unionByName(cat)
 
 
 def woe_table(binned: DataFrame, label: str, smoothing: float = SMOOTHING) -> DataFrame:
-    """Per (feature, bin): n, good, bad, event rate, smoothed shares, WOE,
-    IV part; plus the feature's IV and JS divergence (window over ≤ a few dozen
-    rows per feature)."""
+    """Counts per (feature, bin) in one aggregate, then WOE and IV."""
     y = F.col(label).cast("long")
-    t = binned.groupBy("feature", "bin").agg(
+    return woe_of_counts(binned.groupBy("feature", "bin").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(F.lit(1) - y).alias("good"),
         F.sum(y).alias("bad"),
         F.min("lower").alias("lower"),
         F.max("upper").alias("upper"),
-    )
+    ), smoothing)
+
+
+def woe_of_counts(t: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
+    """Per (feature, bin) with n, good, bad: event rate, smoothed shares, WOE, IV part; the feature's IV and JS divergence
+    (window over a few dozen rows per feature)."""
     w = Window.partitionBy("feature")
     k = F.count(F.lit(1)).over(w).cast("double")
     s = F.lit(smoothing)
@@ -131,85 +146,36 @@ def iv_summary(woe: DataFrame) -> DataFrame:
     })
 
 
-# --- monotone merge (small table, per feature) ---------------------------------
-
-MERGE_SCHEMA = "feature string, bin string, n long, good long, bad long, lower double, upper double"
-
-
-def _merge_monotone(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Merge adjacent numeric bins until the event rate is monotone in the
-    direction of the overall trend; missing / categorical bins untouched."""
-    cols = ["feature", "bin", "n", "good", "bad", "lower", "upper"]
-    num = pdf[pdf["bin"].str.startswith("q")].sort_values("bin").reset_index(drop=True)
-    rest = pdf[~pdf["bin"].str.startswith("q")]
-    if len(num) > 2:
-        rates = (num["bad"] / num["n"]).to_numpy()
-        trend = np.corrcoef(np.arange(len(rates)), rates)[0, 1] if np.std(rates) > 0 else 1.0
-        sign = 1.0 if (np.isnan(trend) or trend >= 0) else -1.0
-        rows = num.to_dict("records")
-        changed = True
-        while changed and len(rows) > 1:
-            changed = False
-            for i in range(len(rows) - 1):
-                a, b = rows[i], rows[i + 1]
-                if sign * (b["bad"] / b["n"] - a["bad"] / a["n"]) < 0:
-                    rows[i] = {"feature": a["feature"], "bin": a["bin"], "n": a["n"] + b["n"], "good": a["good"] + b["good"],
-                               "bad": a["bad"] + b["bad"], "lower": a["lower"], "upper": b["upper"]}
-                    del rows[i + 1]
-                    changed = True
-                    break
-        rows = _chi_merge(rows)
-        num = pd.DataFrame(rows)
-        num["bin"] = [f"q{i + 1:02d}" for i in range(len(num))]
-    cat = rest[rest["bin"].str.startswith("=")].copy()
-    miss = rest[~rest["bin"].str.startswith("=")]
-    if len(cat) > 1:
-        cat["_rate"] = cat["bad"] / cat["n"]
-        rows = _chi_merge(cat.sort_values(["_rate", "bin"]).drop(columns="_rate").to_dict("records"), LEVEL_SEP)
-        cat = pd.DataFrame(rows)
-    out = pd.concat([num[cols], cat[cols], miss[cols]], ignore_index=True)
-    return out.astype({"n": "int64", "good": "int64", "bad": "int64"})
-
-
-CHI2_CRITICAL = 3.841458820694124     # 2x2 table, 1 degree of freedom, p = 0.05
-
-
-def _chi2(a: dict, b: dict) -> float:
-    """Pearson chi-square of the 2x2 (bin × good/bad) table of two bins."""
-    obs = np.array([[a["good"], a["bad"]], [b["good"], b["bad"]]], dtype=float)
-    tot = obs.sum()
-    if tot == 0:
-        return 0.0
-    exp = obs.sum(axis=1, keepdims=True) * obs.sum(axis=0, keepdims=True) / tot
-    with np.errstate(divide="ignore", invalid="ignore"):
-        terms = np.where(exp > 0, (obs - exp) ** 2 / exp, 0.0)
-    return float(terms.sum())
-
-
-LEVEL_SEP = "\x1f"      # unit separator between the levels of a merged categorical bin, after '='
-
-
-def _chi_merge(rows: list[dict], level_sep: str | None = None) -> list[dict]:
-    """Merge the adjacent pair whose event rates differ least (smallest chi2)
-    while that difference is not significant. Categorical bins (``level_sep``
-    given) concatenate their level lists."""
-    while len(rows) > 1:
-        stats = [_chi2(rows[i], rows[i + 1]) for i in range(len(rows) - 1)]
-        i = int(np.argmin(stats))
-        if stats[i] >= CHI2_CRITICAL:
-            break
-        a, b = rows[i], rows[i + 1]
-        label = a["bin"] + level_sep + b["bin"][1:] if level_sep else a["bin"]
-        rows[i] = {"feature": a["feature"], "bin": label, "n": a["n"] + b["n"], "good": a["good"] + b["good"],
-                   "bad": a["bad"] + b["bad"], "lower": a["lower"], "upper": b["upper"]}
-        del rows[i + 1]
-    return rows
+# --- monotone merge (small table) ---------------------------------------------
+
+def monotone_merge(woe: DataFrame) -> DataFrame:
+    """Numeric bins of each feature pooled until their event rate is monotone in the direction of its trend (pool adjacent
+    violators): rows feature, bin, n, good, bad, lower, upper. Missing and categorical bins stay as they are.
+
+    The fitted rate of bin i is the greatest, over a <= i, of the least, over b >= i, of the rate of bins a..b; adjacent
+    bins of one fitted rate become one. That is arithmetic on at most (bins) cubed numbers a feature, in its own row."""
+    numeric = woe.where(F.col("bin").startswith("q")).groupBy("feature").agg(F.sort_array(F.collect_list(F.struct(
+        F.substring("bin", 2, 9).cast("int").alias("i"), "n", "good", "bad", "lower", "upper"))).alias("b"),
+        F.corr(F.substring("bin", 2, 9).cast("int"), F.col("bad") / F.col("n")).alias("trend"))
+    sign = F.when((F.col("trend") < 0) & ~F.isnan("trend"), -1).otherwise(1)
+    last = F.size("b") - 1
+
+    def rate(a: Column, b: Column) -> Column:
+        part = F.slice(F.col("b"), a + 1, b - a + 1)
+        total = lambda c: F.aggregate(part, F.lit(0).cast("long"), lambda acc, x: acc + x[c])
+        return (sign * total("bad")).cast("double") / total("n")
 
+    def fitted(i: Column) -> Column:
+        return F.array_max(F.transform(F.sequence(F.lit(0), i), lambda a: F.array_min(F.transform(F.sequence(i, last), lambda b: rate(a, b)))))
 
-def merged_bins(woe: DataFrame) -> DataFrame:
-    """Monotone version of the bin table (per-feature pandas on ≤ 11 rows)."""
-    small = woe.select("feature", "bin", "n", "good", "bad", "lower", "upper")
-    return small.groupBy("feature").applyInPandas(_merge_monotone, MERGE_SCHEMA)
+    rows = numeric.withColumn("f", F.transform(F.sequence(F.lit(0), last), fitted)).withColumn(
+        "x", F.explode(F.arrays_zip("b", "f"))).select("feature", "x.f", "x.b.*")
+    ranked = rows.withColumn("k", F.dense_rank().over(Window.partitionBy("feature").orderBy("f")))      # a few rows a feature
+    merged = ranked.groupBy("feature", numeric_bin_label(F.col("k")).alias("bin")).agg(
+        F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"),
+        F.min_by("lower", "i").alias("lower"), F.max_by("upper", "i").alias("upper"))
+    rest = woe.where(~F.col("bin").startswith("q")).select("feature", "bin", "n", "good", "bad", "lower", "upper")
+    return merged.unionByName(rest)
 
 
 # --- transform --------------------------------------------------------------------
@@ -225,11 +191,11 @@ class BinMap:
         for r in woe.select("feature", "bin", "lower", "upper", "woe", "event_rate", "n").collect():
             out.setdefault(r["feature"], []).append(r.asDict())
         for f in out:
-            out[f].sort(key=lambda d: d["bin"])
+            out[f].sort(key=lambda d: (int(d["bin"][1:]) if d["bin"][1:].isdigit() and d["bin"][0] == "q" else 0, d["bin"]))
         return cls(out)
 
     def woe_column(self, feature: str, numeric: bool) -> Column:
-        """WOE of a raw column as a CASE chain (unseen level → 0)."""
+        """WOE of a raw column as a CASE chain (rare or unseen level: the pooled bin's, 0 without one)."""
         rows = self.rows[feature]
         c = F.col(feature)
         miss = next((r["woe"] for r in rows if r["bin"] == MISSING), 0.0)
@@ -243,9 +209,8 @@ class BinMap:
             return expr
         for r in rows:
             if r["bin"].startswith("="):
-                levels = r["bin"][1:].split(LEVEL_SEP)
-                expr = expr.when(c.cast("string").isin(*levels), F.lit(float(r["woe"])))
-        return expr.otherwise(F.lit(0.0))
+                expr = expr.when(c.cast("string") == F.lit(r["bin"][1:]), F.lit(float(r["woe"])))
+        return expr.otherwise(F.lit(float(next((r["woe"] for r in rows if r["bin"] == POOLED), 0.0))))
 
     def transform(self, df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str]) -> DataFrame:
         """Wide frame of WOE columns ``woe_<feature>``."""

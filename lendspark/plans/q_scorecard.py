@@ -1,6 +1,7 @@
 """Scorecard queries."""
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,9 @@ from lendspark.operators import ranking
 from lendspark.operators import scorecard as sc
 from lendspark.plans import q_scoring as qs
 from lendspark.plans.q_audit import customer_split, sql_customer_split
+from lendspark.functions.local import local_frame
+from lendspark.plans.artefacts import artefact
 from lendspark.plans.registry import query
-from lendspark.session import ensure_checkpoint_dir
 
 CANDIDATE_NUMERIC = [
     "ext_source_1", "ext_source_2", "ext_source_3", "ext_source_mean", "ext_source_min", "ext_source_max",
@@ -31,8 +33,7 @@ REASONS = 3
 
 
 def binned_train(spark: SparkSession, sf_dir: str):
-    ensure_checkpoint_dir(spark)
-    s = customer_split(spark, sf_dir)      # re-read by every fit step
+    s = customer_split(spark, sf_dir)
     train = s.where(F.col("split") == "train")
     edges = sc.prebin_edges(train, NUMERIC, "sk_id_curr", "target")
     return s, train, edges
@@ -45,8 +46,8 @@ def woe_prebins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass
 class FittedScorecard:
-    frame: DataFrame           # all customers, WOE columns + split + target (checkpointed)
-    bins: DataFrame            # final (monotone-merged) bin table with WOE
+    frame: DataFrame           # all customers: WOE columns, split, target, logit, probability, points
+    bins: DataFrame            # final (monotone) bin table with WOE
     ivs: DataFrame
     pruning: list
     kept: list
@@ -56,47 +57,62 @@ class FittedScorecard:
     dropped: list
     means: dict
 
+    @property
+    def mean_logit(self) -> float:
+        return self.intercept + sum(c * self.means[f] for f, c in self.coefs.items())
 
-def fit_scorecard(spark: SparkSession, sf_dir: str) -> FittedScorecard:
-    """Bin → WOE/IV → IV filter → monotone merge → WOE transform → correlation
-    prune → sign-repaired logistic fit. Driver sees only bounded tables."""
-    ensure_checkpoint_dir(spark)
+
+def additivity_error(frame: DataFrame, coefs: dict, means: dict, mean_logit: float) -> F.Column:
+    """|sum of contributions - (logit - mean logit)| of a scored row."""
+    total = F.lit(0.0)
+    for f, c in coefs.items():
+        total = total + F.lit(c) * (F.col(f"woe_{f}") - F.lit(means[f]))
+    return F.abs(total - (F.col("logit") - F.lit(mean_logit)))
+
+
+MODEL_PARTS = ("scorecard_bins", "scorecard_ivs", "scorecard_frame", "scorecard_model")
+
+
+def train_scorecard(spark: SparkSession, sf_dir: str) -> None:
+    """Bin, WOE/IV, monotone merge, IV filter, WOE transform, correlation prune, sign-repaired logistic fit; then publish
+    bins, IVs, scored customers and, last, the model. The driver sees only bounded tables."""
+    bins_at, ivs_at, frame_at, model_at = (artefact(spark, sf_dir, name) for name in MODEL_PARTS)
     fair.compliance_gate(NUMERIC + CATEGORICAL)                         # M38
-    s, train, edges = binned_train(spark, sf_dir)
-    pre = sc.woe_table(sc.assign_bins(train, NUMERIC, CATEGORICAL, edges, "sk_id_curr", "target"), "target")
-    # merge to monotone event rate, recompute WOE on the merged counts, and
-    # select on the merged IV (noise collapses to one or two bins, IV ≈ 0)
-    merged = sc.merged_bins(pre)
-    bins = _woe_from_counts(merged)
-    ivs = sc.iv_summary(bins.withColumn("js", F.lit(None).cast("double")))
-    selected = [r["feature"] for r in ivs.where("selected").orderBy(F.desc("iv"), "feature").collect()]
+    s = customer_split(spark, sf_dir)
+    bins_at.publish(monotone_bins(spark, sf_dir), ["feature", "bin"], contracts={"no bin is empty": "count_if(n <= 0) = 0"})
+    bins = bins_at.read()
+    ivs_at.publish(sc.iv_summary(bins), "feature")
+    selected = [r["feature"] for r in ivs_at.read().where("selected").orderBy(F.desc("iv"), "feature").collect()]
     bmap = sc.BinMap.collect(bins)
-    frame = bmap.transform(s, [f for f in NUMERIC if f in selected], [f for f in CATEGORICAL if f in selected],
-                           ["sk_id_curr", "target", "split"]).checkpoint()
-    train_woe = frame.where(F.col("split") == "train")
+    woe = bmap.transform(s, [f for f in NUMERIC if f in selected], [f for f in CATEGORICAL if f in selected],
+                         ["sk_id_curr", "target", "split"])
+    train_woe = woe.where(F.col("split") == "train")
     pruning = sc.correlation_prune(train_woe, selected)
     survivors = [p[0] for p in pruning if p[1]]
-    n_train = train_woe.count()
-    kept, intercept, coefs, rounds, dropped = sc.sign_repair(train_woe, survivors, "target", n_train)
+    kept, intercept, coefs, rounds, dropped = sc.sign_repair(train_woe, survivors, "target", train_woe.count())
     means_row = train_woe.agg(*[F.avg(f"woe_{f}").alias(f) for f in kept]).first()
     means = {f: float(means_row[f]) for f in kept}
-    return FittedScorecard(frame, bins, ivs, pruning, kept, intercept, coefs, rounds, dropped, means)
+    model = {"pruning": pruning, "kept": kept, "intercept": intercept, "coefs": coefs, "rounds": rounds, "dropped": dropped, "means": means}
+    mean_logit = intercept + sum(c * means[f] for f, c in coefs.items())
+    scored = sc.score_columns(woe, intercept, coefs)
+    frame_at.publish(scored.withColumn("additivity_error", additivity_error(scored, coefs, means, mean_logit)), "sk_id_curr", contracts={
+        "contributions add up to the score": "max(additivity_error) < 1e-4",
+        "probabilities lie in [0, 1]": "count_if(probability NOT BETWEEN 0 AND 1) = 0"})
+    model_at.publish(local_frame(spark, [(json.dumps(model),)], "model string"), note="scorecard")
 
 
-def _woe_from_counts(counts: DataFrame) -> DataFrame:
-    """WOE/IV on an already counted (feature, bin, n, good, bad) table."""
-    from pyspark.sql import Window
+def fit_scorecard(spark: SparkSession, sf_dir: str) -> FittedScorecard:
+    """The published scorecard; the first job that finds none trains it."""
+    model = artefact(spark, sf_dir, "scorecard_model")
+    if model.current() is None:
+        train_scorecard(spark, sf_dir)
+    bins, ivs, frame = (artefact(spark, sf_dir, name).read() for name in MODEL_PARTS[:3])
+    return FittedScorecard(frame.drop("additivity_error"), bins, ivs, **json.loads(model.read().first()["model"]))
 
-    w = Window.partitionBy("feature")
-    k = F.count(F.lit(1)).over(w).cast("double")
-    s = F.lit(sc.SMOOTHING)
-    t = counts.withColumns({
-        "good_share": (F.col("good") + s) / (F.sum("good").over(w) + s * k),
-        "bad_share": (F.col("bad") + s) / (F.sum("bad").over(w) + s * k),
-    }).withColumns({"event_rate": F.col("bad") / F.col("n")})
-    t = t.withColumn("woe", F.log(F.col("good_share") / F.col("bad_share")))
-    t = t.withColumn("iv_part", (F.col("good_share") - F.col("bad_share")) * F.col("woe"))
-    return t.withColumn("iv", F.sum("iv_part").over(w))
+
+def monotone_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bins that the scorecard is fitted on, with WOE, IV and JS."""
+    return sc.woe_of_counts(sc.monotone_merge(woe_prebins(spark, sf_dir)))
 
 
 # --- oracle text for the pre-bin WOE table ---------------------------------------
@@ -115,7 +131,9 @@ nb AS (
     CASE WHEN value IS NULL THEN 'missing' ELSE 'q' || lpad(CAST({qs.sql_qcut('value', 'pe.edges')} AS VARCHAR), 2, '0') END AS bin
   FROM ln LEFT JOIN pe USING (feature)
 ),
-cb AS (SELECT feature, target, CASE WHEN level IS NULL THEN 'missing' ELSE '=' || level END AS bin FROM lc),
+lv AS (SELECT feature, level, count(*) AS c, sum(count(*)) OVER (PARTITION BY feature) AS all_ FROM lc WHERE level IS NOT NULL GROUP BY feature, level),
+cb AS (SELECT lc.feature, target, CASE WHEN lc.level IS NULL THEN 'missing' WHEN lv.c >= {sc.RARE_SHARE!r} * lv.all_ THEN '=' || lc.level ELSE '{sc.POOLED}' END AS bin
+       FROM lc LEFT JOIN lv ON lv.feature = lc.feature AND lv.level = lc.level),
 allb AS (SELECT * FROM nb UNION ALL SELECT * FROM cb),
 cnt AS (SELECT feature, bin, count(*) AS n, CAST(sum(1 - target) AS BIGINT) AS good, CAST(sum(target) AS BIGINT) AS bad
         FROM allb GROUP BY feature, bin),
@@ -138,6 +156,36 @@ def q_woe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return woe_prebins(spark, sf_dir).select("feature", "bin", "n", "good", "bad", "event_rate", "woe", "iv_part", "iv", "js")
 
 
+def sql_monotone_ctes() -> str:
+    """Pool-adjacent-violators by its min-max formula: the fitted rate of bin i is the greatest over a <= i of the least over
+    b >= i of the rate of bins a..b (rates negated where they fall); bins of one fitted rate are one bin."""
+    return sql_woe_ctes() + f""",
+qb AS (SELECT feature, bin, n, good, bad, row_number() OVER (PARTITION BY feature ORDER BY CAST(bin[2:] AS INTEGER)) AS i FROM wt WHERE starts_with(bin, 'q')),
+tr_ AS (SELECT feature, CASE WHEN coalesce(corr(i, bad / n), 0) >= 0 OR isnan(corr(i, bad / n)) THEN 1 ELSE -1 END AS sign FROM qb GROUP BY feature),
+ab AS (SELECT x.feature, x.i AS a, y.i AS b, CAST(sign * sum(z.bad) AS DOUBLE) / sum(z.n) AS rate
+       FROM qb x JOIN qb y ON y.feature = x.feature AND y.i >= x.i JOIN qb z ON z.feature = x.feature AND z.i BETWEEN x.i AND y.i
+       JOIN tr_ ON tr_.feature = x.feature GROUP BY x.feature, x.i, y.i, sign),
+li AS (SELECT qb.feature, qb.i, ab.a, min(ab.rate) AS least FROM qb JOIN ab ON ab.feature = qb.feature AND ab.a <= qb.i AND ab.b >= qb.i GROUP BY qb.feature, qb.i, ab.a),
+fi AS (SELECT feature, i, max(least) AS fitted FROM li GROUP BY feature, i),
+mg AS (SELECT qb.feature, 'q' || lpad(CAST(dense_rank() OVER (PARTITION BY qb.feature ORDER BY fitted) AS VARCHAR), 2, '0') AS bin, n, good, bad
+       FROM qb JOIN fi USING (feature, i)),
+mcnt AS (SELECT feature, bin, CAST(sum(n) AS BIGINT) AS n, CAST(sum(good) AS BIGINT) AS good, CAST(sum(bad) AS BIGINT) AS bad FROM mg GROUP BY feature, bin
+         UNION ALL SELECT feature, bin, n, good, bad FROM wt WHERE NOT starts_with(bin, 'q')),
+msh AS (SELECT *, (good + 0.5) / (sum(good) OVER (PARTITION BY feature) + 0.5 * count(*) OVER (PARTITION BY feature)) AS good_share,
+                  (bad + 0.5) / (sum(bad) OVER (PARTITION BY feature) + 0.5 * count(*) OVER (PARTITION BY feature)) AS bad_share FROM mcnt),
+mwt AS (SELECT feature, bin, n, good, bad, CAST(bad AS DOUBLE) / n AS event_rate, ln(good_share / bad_share) AS woe,
+          (good_share - bad_share) * ln(good_share / bad_share) AS iv_part FROM msh),
+mwiv AS (SELECT *, sum(iv_part) OVER (PARTITION BY feature) AS iv FROM mwt)"""
+
+
+@query("monotone_bins", "M19,M20", sql=lambda: sql_monotone_ctes() + f"""
+SELECT feature, bin, n, good, bad, event_rate, woe, iv, iv >= {sc.IV_MIN} AND iv <= {sc.IV_MAX} AS selected FROM mwiv""")
+def q_monotone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published bins that the scorecard is fitted on."""
+    return fit_scorecard(spark, sf_dir).bins.select("feature", "bin", "n", "good", "bad", "event_rate", "woe", "iv").withColumn(
+        "selected", (F.col("iv") >= sc.IV_MIN) & (F.col("iv") <= sc.IV_MAX))
+
+
 @query("iv_selected", "M20,M41", sql=lambda: sql_woe_ctes() + f"""
 SELECT feature, max(iv) AS iv, max(js) AS js, count(*) AS n_bins,
   CASE WHEN max(iv) < {sc.IV_WEAK} THEN 'weak' WHEN max(iv) < {sc.IV_MEDIUM} THEN 'medium' ELSE 'strong' END AS strength,
@@ -159,7 +207,8 @@ xb AS (
   UNION ALL
   SELECT sk_id_curr, feature, CASE WHEN level IS NULL THEN 'missing' ELSE '=' || level END FROM allc
 )
-SELECT sk_id_curr, xb.feature, coalesce(wiv.woe, 0.0) AS woe FROM xb LEFT JOIN wiv USING (feature, bin)""")
+SELECT sk_id_curr, xb.feature, coalesce(wiv.woe, pooled.woe, 0.0) AS woe FROM xb LEFT JOIN wiv USING (feature, bin)
+  LEFT JOIN wiv pooled ON pooled.feature = xb.feature AND pooled.bin = '{sc.POOLED}' AND starts_with(xb.bin, '=')""")
 def q_woe_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M21 with the pre-bins: WOE per customer and feature (long form). The
     transform itself is generated column expressions (no join)."""

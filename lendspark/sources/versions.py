@@ -18,7 +18,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +27,11 @@ from lendspark.sources.tables import assert_unique
 POINTER = "sequence long, version string, rows long, note string, published timestamp"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 class ContractError(ValueError):
     """The written rows break a contract; nothing was published."""
 
@@ -57,12 +61,9 @@ class VersionedTable:
 
     def history(self) -> list[Version]:
         """Published versions, the current one first (one row each, as many as publications)."""
-        try:
-            rows = self.spark.read.schema(POINTER).parquet(f"{self.root}/pointer").collect()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, f"{self.root}/pointer"):
             return []
+        rows = self.spark.read.schema(POINTER).parquet(f"{self.root}/pointer").collect()
         winners: dict[int, Version] = {}
         for r in sorted(rows, key=lambda r: (r["sequence"], r["version"])):
             winners.setdefault(r["sequence"], Version(r["sequence"], r["version"], r["rows"], r["note"]))
