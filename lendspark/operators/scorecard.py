@@ -38,6 +38,7 @@ SMOOTHING = 0.5
 PDO, PDO_ODDS, PDO_POINTS = 20.0, 20.0, 600.0
 MISSING = "missing"
 POOLED = "*"            # the bin of all rare levels of a categorical feature
+TREND_NOISE = 1e-12     # a covariance this small is rounding
 RARE_SHARE = 0.01       # levels of a smaller share of the rows are rare
 N_PREBINS = 10
 
@@ -156,8 +157,8 @@ def monotone_merge(woe: DataFrame) -> DataFrame:
     bins of one fitted rate become one. That is arithmetic on at most (bins) cubed numbers a feature, in its own row."""
     numeric = woe.where(F.col("bin").startswith("q")).groupBy("feature").agg(F.sort_array(F.collect_list(F.struct(
         F.substring("bin", 2, 9).cast("int").alias("i"), "n", "good", "bad", "lower", "upper"))).alias("b"),
-        F.corr(F.substring("bin", 2, 9).cast("int"), F.col("bad") / F.col("n")).alias("trend"))
-    sign = F.when((F.col("trend") < 0) & ~F.isnan("trend"), -1).otherwise(1)
+        F.covar_pop(F.substring("bin", 2, 9).cast("int"), F.col("bad") / F.col("n")).alias("trend"))
+    sign = F.when(F.col("trend") < -TREND_NOISE, -1).otherwise(1)
     last = F.size("b") - 1
 
     def rate(a: Column, b: Column) -> Column:
@@ -307,7 +308,7 @@ def direction_audit(points: DataFrame) -> DataFrame:
     """M27 (per variable): corr(event rate, points) over real bins (no missing,
     n > 0, at least 2 bins) must be negative."""
     real = points.where((F.col("bin") != MISSING) & (F.col("n") > 0))
-    a = real.groupBy("feature").agg(F.corr("event_rate", "points").alias("direction_corr"),
+    a = real.groupBy("feature").agg(F.try_divide(F.covar_pop("event_rate", "points"), F.stddev_pop("event_rate") * F.stddev_pop("points")).alias("direction_corr"),
                                     F.count(F.lit(1)).alias("bins"))
     a = a.where(F.col("bins") >= 2)
     return a.withColumn("status", F.when(F.col("direction_corr") < 0, "correct")

@@ -47,6 +47,11 @@ def _con():
     return con
 
 
+def describe(inner: str) -> list[tuple[str, str]]:
+    """Column names and types of a query (not run)."""
+    return [(name, typ.upper()) for name, typ, *_ in _con().execute(f"DESCRIBE {inner}").fetchall()]
+
+
 def present(q: str, digits: int = 6) -> str:
     """Same rounding as ``exprs.present_double``."""
     e = f"floor(log10(abs({q})))"

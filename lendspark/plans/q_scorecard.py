@@ -29,7 +29,7 @@ CANDIDATE_CATEGORICAL = ["name_contract_type", "name_education_type", "occupatio
                          "name_family_status"]
 NUMERIC = fair.compliant_features(CANDIDATE_NUMERIC)
 CATEGORICAL = fair.compliant_features(CANDIDATE_CATEGORICAL)
-REASONS = 3
+REASONS = 12         # offline; the online scorer gives 8
 
 
 def binned_train(spark: SparkSession, sf_dir: str):
@@ -161,7 +161,7 @@ def sql_monotone_ctes() -> str:
     b >= i of the rate of bins a..b (rates negated where they fall); bins of one fitted rate are one bin."""
     return sql_woe_ctes() + f""",
 qb AS (SELECT feature, bin, n, good, bad, row_number() OVER (PARTITION BY feature ORDER BY CAST(bin[2:] AS INTEGER)) AS i FROM wt WHERE starts_with(bin, 'q')),
-tr_ AS (SELECT feature, CASE WHEN coalesce(corr(i, bad / n), 0) >= 0 OR isnan(corr(i, bad / n)) THEN 1 ELSE -1 END AS sign FROM qb GROUP BY feature),
+tr_ AS (SELECT feature, CASE WHEN covar_pop(i, bad / n) < -{sc.TREND_NOISE!r} THEN -1 ELSE 1 END AS sign FROM qb GROUP BY feature),
 ab AS (SELECT x.feature, x.i AS a, y.i AS b, CAST(sign * sum(z.bad) AS DOUBLE) / sum(z.n) AS rate
        FROM qb x JOIN qb y ON y.feature = x.feature AND y.i >= x.i JOIN qb z ON z.feature = x.feature AND z.i BETWEEN x.i AND y.i
        JOIN tr_ ON tr_.feature = x.feature GROUP BY x.feature, x.i, y.i, sign),

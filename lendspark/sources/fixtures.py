@@ -90,6 +90,12 @@ SELECT user_id * 10 + event_id % 3 AS sk_id_prev, user_id AS sk_id_curr, -1 - ev
   CASE WHEN event_id % 29 = 0 THEN event_id % 60 ELSE 0 END AS sk_dpd,
   CASE WHEN event_id % 58 = 0 THEN event_id % 60 ELSE 0 END AS sk_dpd_def,
   CASE WHEN event_id % 19 = 0 THEN 'Completed' ELSE 'Active' END AS name_contract_status
+FROM {events}""",
+    "fx_requests": """
+SELECT event_id, CASE WHEN event_id % 30 = 11 THEN ts - INTERVAL 3 DAY ELSE ts END AS ts,
+  CASE WHEN event_id % 50 = 7 THEN user_id + 1000000000 ELSE user_id END AS sk_id_curr,
+  CASE WHEN event_id % 40 = 3 THEN NULL ELSE value * 1000 END AS requested_amount,
+  CAST(least(floor((day(ts) - 1) / 10.0), 2) AS INT) AS arrival
 FROM {events}""",
     "fx_scored": """
 SELECT o_orderkey AS id, o_custkey AS sk_id_curr, CAST(c_acctbal < 0 AS INT) AS target, o_totalprice AS amt_credit,
@@ -111,6 +117,7 @@ ROLE = {
     "pos_cash": "fx_pos_cash",
     "credit_card": "fx_credit_card",
     "scored": "fx_scored",
+    "requests": "fx_requests",
 }
 
 _TABLE_REF = re.compile(r"\{(\w+)\}")

@@ -1,17 +1,17 @@
 """Structured Streaming surfaces.
 
-R1 ``score_stream``: applications arrive as rows of a stream; each is
-conformed (types, unknown customer → reject sink), enriched by a stream-static
-join with the customer feature table, scored with the *same* scorecard column
-expressions as the batch job (no training/serving skew), given a data-quality
-confidence, a decision (low confidence → manual review) and reason codes.
+R1 ``RequestSink``: applications arrive as rows of a stream; each is joined
+once with the static customer feature table, judged, scored with the *same*
+scorecard column expressions as the batch job (no training/serving skew),
+given a data-quality confidence, a decision (low confidence → manual review)
+and reason codes, or rejected with a reason, in one pass over the batch.
 
 R2 ``drift_stream``: daily event windows under a watermark are binned against
 reference edges (a static, bounded array) and counted; state is bounded by
 windows × bins. PSI per window is computed from those counts.
 
-R3: rows later than the watermark are dropped by the engine; malformed or
-unknown rows go to the reject output with a reason.
+R3: late, malformed and unknown rows go to the reject output with a reason;
+nothing is dropped.
 
 Checkpoints and outputs live under the session's ``spark.checkpoint.dir``
 (shared storage on a cluster), never in a machine-local folder.
@@ -19,7 +19,8 @@ Checkpoints and outputs live under the session's ``spark.checkpoint.dir``
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from lendspark.operators import quality
 from lendspark.operators import scorecard as sc
 from lendspark.operators.psi import SHARE_FLOOR, verdict
 from lendspark.session import ensure_checkpoint_dir
+from lendspark.sources.versions import exists
 
 EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 ONLINE_BAND_LABELS = mon.RISK_BAND_LABELS
@@ -49,27 +51,58 @@ def read_event_stream(spark: SparkSession, directory: str, pattern: str = "event
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_available(df: DataFrame, out: str, mode: str = "append", fmt: str = "parquet") -> None:
-    """Drain everything available now into ``out`` (exactly-once file sink,
-    checkpoint next to it) and stop."""
-    q = (df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", out + "/_checkpoint")
-         .trigger(availableNow=True).start(out + "/data"))
-    q.awaitTermination()
+REQUEST_SCHEMA = "event_id long, ts timestamp, sk_id_curr long, requested_amount double"
+LATENESS = "1 day"
+ACCEPTED, REJECTED = "accepted", "rejected"
 
 
-def conform(requests: DataFrame, customers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Typed request rows; unknown customer or missing amount → rejects.
-    ``customers`` is the static key table (stream-static left anti join)."""
-    req = requests.select(
-        "event_id", "ts", F.col("user_id").alias("sk_id_curr"),
-        F.col("value").cast("double").alias("requested_amount"))
-    known = req.join(customers.select("sk_id_curr"), "sk_id_curr", "left_semi")
-    unknown = req.join(customers.select("sk_id_curr"), "sk_id_curr", "left_anti").withColumn(
-        "reason", F.lit("unknown customer"))
-    bad = known.where(F.col("requested_amount").isNull() | F.isnan("requested_amount")).withColumn(
-        "reason", F.lit("missing requested amount"))
-    good = known.where(F.col("requested_amount").isNotNull() & ~F.isnan("requested_amount"))
-    return good, unknown.unionByName(bad)
+def judge(requests: DataFrame, customers: DataFrame, watermark: datetime | None = None) -> DataFrame:
+    """Requests joined once with the static customer table, with the ``reason`` of a rejection (NULL: accepted):
+    unknown customer, missing amount, or later than the watermark."""
+    amount = F.col("requested_amount")
+    late = F.lit(False) if watermark is None else F.coalesce(F.col("ts") < F.lit(watermark), F.lit(False))
+    joined = requests.join(customers.withColumn("_known", F.lit(True)), "sk_id_curr", "left")
+    return joined.withColumn("reason", F.when(F.col("_known").isNull(), F.lit("unknown customer"))
+                             .when(amount.isNull() | F.isnan(amount), F.lit("missing requested amount"))
+                             .when(F.col("ts").isNull(), F.lit("missing time")).when(late, F.lit("late"))).drop("_known")
+
+
+class RequestSink:
+    """One stream, two sinks: each micro-batch is judged and scored in one pass and written below
+    ``data/batch_id=N/status=accepted|rejected``. A batch that is run again (restart, lost commit) overwrites its own
+    folder, so nothing is repeated; its watermark comes from the batches before it alone, so it is judged the same."""
+
+    def __init__(self, spark: SparkSession, out: str, score: Callable[[DataFrame, datetime | None], DataFrame], lateness: str = LATENESS):
+        self.spark, self.out, self.score, self.lateness = spark, out.rstrip("/"), score, lateness
+
+    def watermark(self, batch_id: int) -> datetime | None:
+        """The greatest event time of the batches before this one, less the allowed lateness."""
+        if not exists(self.spark, f"{self.out}/progress"):
+            return None
+        seen = self.spark.read.schema("batch_id long, latest timestamp").parquet(f"{self.out}/progress")
+        at = F.max("latest") - F.expr(f"INTERVAL {self.lateness}")
+        return seen.where(F.col("batch_id") < batch_id).agg(at.alias("w")).first()["w"]
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        at = f"{self.out}/data/batch_id={batch_id}"
+        scored = self.score(batch, self.watermark(batch_id))
+        scored.withColumn("status", F.when(F.col("reason").isNull(), ACCEPTED).otherwise(REJECTED)).write.mode("overwrite").partitionBy("status").parquet(at)
+        written = self.spark.read.schema("ts timestamp").parquet(at)
+        latest = written.agg(F.max("ts").alias("latest")).select(F.lit(batch_id).cast("long").alias("batch_id"), "latest")
+        latest.coalesce(1).write.mode("overwrite").parquet(f"{self.out}/progress/part={batch_id}")
+
+    def run(self, requests: DataFrame) -> None:
+        """Everything that has arrived, then stop."""
+        q = (requests.writeStream.option("checkpointLocation", f"{self.out}/_checkpoint").foreachBatch(self).trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    def results(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.out}/data")
+
+
+def read_requests(spark: SparkSession, directory: str) -> DataFrame:
+    """File stream of requests: all files that arrived since the last run are one micro-batch."""
+    return spark.readStream.schema(REQUEST_SCHEMA).parquet(directory)
 
 
 def online_band(p: str) -> F.Column:
@@ -79,23 +112,21 @@ def online_band(p: str) -> F.Column:
     return band(p, mon.ONLINE_BAND_EDGES, ONLINE_BAND_LABELS, closed="left")
 
 
-def score_requests(good: DataFrame, features: DataFrame, bmap: sc.BinMap, numeric: Sequence[str],
-                   categorical: Sequence[str], intercept: float, coefs: dict, means: dict,
-                   checked: Sequence[str], threshold: float, reasons: int = 3) -> DataFrame:
-    """R1 core, shared by batch and stream: enrich → WOE → score → confidence
-    → decision → reasons."""
-    enriched = good.join(features, "sk_id_curr", "left")                   # stream-static join
-    qual = quality.confidence(enriched, checked)
+def score_requests(judged: DataFrame, bmap: sc.BinMap, numeric: Sequence[str], categorical: Sequence[str], intercept: float,
+                   coefs: dict, means: dict, checked: Sequence[str], threshold: float, reasons: int = 8) -> DataFrame:
+    """R1 core, shared by batch and stream: WOE → score → confidence → decision → reasons of judged requests (joined with
+    the customers' features). Rejected ones keep their row, without a score."""
+    qual = quality.confidence(judged, checked)
     woe = bmap.transform(qual, [f for f in numeric if f in coefs], [f for f in categorical if f in coefs],
-                         ["event_id", "ts", "sk_id_curr", "requested_amount", "confidence", "unexpected_nulls"])
+                         ["event_id", "ts", "sk_id_curr", "requested_amount", "reason", "confidence", "unexpected_nulls"])
     scored = sc.contributions(sc.score_columns(woe, intercept, coefs), coefs, means)
     decision = (F.when(F.col("confidence") == "low", F.lit(mon.REVIEW))
                 .when(F.col("probability") < F.lit(threshold), F.lit(mon.APPROVE)).otherwise(F.lit(mon.REJECT)))
-    return scored.select(
-        "event_id", "ts", "sk_id_curr", "requested_amount",
-        F.round("probability", 6).alias("probability"), "points",
-        online_band("probability").alias("risk_band"), "confidence", "unexpected_nulls",
-        decision.alias("decision"), sc.top_reasons(F.col("contribs"), reasons).alias("reasons"))
+    given = {"probability": F.round("probability", 6), "points": F.col("points"), "risk_band": online_band("probability"),
+             "confidence": F.col("confidence"), "unexpected_nulls": F.col("unexpected_nulls"), "decision": decision,
+             "reasons": sc.top_reasons(F.col("contribs"), reasons)}
+    return scored.select("event_id", "ts", "sk_id_curr", "requested_amount", "reason",
+                         *[F.when(F.col("reason").isNull(), c).alias(name) for name, c in given.items()])
 
 
 def drift_counts(events: DataFrame, edges: Sequence[float], watermark: str = "1 day",
