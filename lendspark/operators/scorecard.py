@@ -161,9 +161,15 @@ def monotone_merge(woe: DataFrame) -> DataFrame:
     sign = F.when(F.col("trend") < -TREND_NOISE, -1).otherwise(1)
     last = F.size("b") - 1
 
+    def sums(c: str) -> Column:
+        """Sums of the first 0, 1, ... bins."""
+        return F.transform(F.sequence(F.lit(0), F.size("b")), lambda k: F.aggregate(
+            F.slice("b", 1, k), F.lit(0).cast("long"), lambda acc, x: acc + x[c]))
+
+    numeric = numeric.withColumns({"to_n": sums("n"), "to_bad": sums("bad")})
+
     def rate(a: Column, b: Column) -> Column:
-        part = F.slice(F.col("b"), a + 1, b - a + 1)
-        total = lambda c: F.aggregate(part, F.lit(0).cast("long"), lambda acc, x: acc + x[c])
+        total = lambda c: F.get(F.col(f"to_{c}"), b + 1) - F.get(F.col(f"to_{c}"), a)
         return (sign * total("bad")).cast("double") / total("n")
 
     def fitted(i: Column) -> Column:
