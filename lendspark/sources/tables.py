@@ -3,7 +3,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,13 +62,68 @@ def widen(dt: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def infer_csv_schema(spark: SparkSession, path: str, sampling_ratio: float = 0.05) -> T.StructType:
-    """Infer a schema from a sample of the CSV, widen the types and
-    normalise the column names. Run once; commit the result as code."""
-    probe = (spark.read.option("header", True).option("inferSchema", True)
-             .option("samplingRatio", sampling_ratio).option("nullValue", "").csv(path))
-    names = normalise_names(probe.columns)
-    return T.StructType([T.StructField(n, widen(f.dataType), True) for n, f in zip(names, probe.schema.fields)])
+INFER_ROWS = 200_000        # the first rows of a file that types are inferred from
+
+
+def _kinds(names: int, rows: int):
+    """Of the first rows of the first split: for each column the types that all its values have. Other splits read nothing."""
+
+    def fits(values: pa.Array, kind: str) -> bool:
+        if kind == "boolean":
+            return pc.all(pc.is_in(pc.utf8_lower(values), pa.array(["true", "false"])), min_count=0).as_py()
+        try:
+            values.cast(pa.int64() if kind == "long" else pa.float64())
+        except pa.ArrowInvalid:
+            return False
+        return True
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        if TaskContext.get().partitionId() > 0:
+            return
+        left, possible, seen = rows, [["boolean", "long", "double"] for _ in range(names)], [False] * names
+        for batch in batches:
+            batch = batch.slice(0, left)
+            left -= batch.num_rows
+            for i in range(names):
+                values = batch.column(i).drop_null()
+                seen[i] |= len(values) > 0
+                possible[i] = [k for k in possible[i] if fits(values, k)]
+            if left == 0:
+                break
+        kinds = [(p or ["string"])[0] if s else "double" for p, s in zip(possible, seen, strict=True)]
+        yield pa.RecordBatch.from_pydict({"place": pa.array(range(names), pa.int32()), "kind": pa.array(kinds, pa.string())})
+
+    return run
+
+
+def infer_csv_schema(spark: SparkSession, path: str, rows: int = INFER_ROWS) -> T.StructType:
+    """A schema of wide types (boolean, long, double, string; a column without any value: double) from the first ``rows``
+    rows of the first split of the first file, with normalised column names. Run once; commit the result as code."""
+    everything = spark.read.option("header", True).option("nullValue", "").csv(path)
+    first = unquote(min(everything.inputFiles()))           # listed as addresses
+    head = spark.read.schema(T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(everything.columns))])).option(
+        "header", True).option("nullValue", "").csv(first)
+    kinds = {r["place"]: r["kind"] for r in head.mapInArrow(_kinds(len(everything.columns), rows), "place int, kind string").collect()}
+    types = {"boolean": T.BooleanType(), "long": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+    names = normalise_names(everything.columns)
+    return T.StructType([T.StructField(n, types[kinds.get(i, "double")], True) for i, n in enumerate(names)])
+
+
+def infer_csv_folder(spark: SparkSession, folder: str, skip: Iterable[str] = (), rows: int = INFER_ROWS) -> dict[str, T.StructType]:
+    """The schema of every ``*.csv`` of a folder, by table name (file name without ending, lower case). ``skip``: file
+    names that are no tables (column descriptions, templates). Two files of one table name are an error."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[str, str] = {}
+    for entry in sorted(e.getPath().getName() for e in fs.listStatus(top)):
+        if entry.lower().endswith(".csv") and entry not in set(skip):
+            table = normalise_name(entry[:-4])
+            if table in found:
+                raise ValueError(f"two files of one table name: {found[table]}, {entry}")
+            found[table] = entry
+    return {table: infer_csv_schema(spark, f"{folder.rstrip('/')}/{entry}", rows) for table, entry in found.items()}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -3,14 +3,12 @@ import pytest
 
 from conftest import SF001
 from oracle_check import check
+from lendspark.plans import catalog
 
-FAST = ["bureau_rollup", "previous_rollup", "installment_rollup", "pos_rollup", "card_rollup", "row_ratios",
-        "model_input", "stratified_split", "ranking_metrics", "lift_table", "calibration_curve", "profit_curve",
-        "best_cutoff", "score_psi", "scored_portfolio", "kpi_by_split", "segment_performance", "risk_band_summary",
-        "fairness_gaps", "woe_iv_table"]
+ALL = sorted(catalog.oracle_sql())
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", ALL)
 def test_query_matches_oracle(spark, name):
     res = check(spark, SF001, [name], verbose=True)
     assert res[name][0] == "OK", res[name]
