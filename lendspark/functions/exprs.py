@@ -123,16 +123,6 @@ def text_or_nan(c: str | Column) -> Column:
     return F.coalesce(col(c).cast("string"), F.lit("nan"))
 
 
-def count_le(edges: Column, x: str | Column) -> Column:
-    """Number of array elements <= x (left-closed bin index over sorted inner edges)."""
-    return F.size(F.filter(edges, lambda e: e <= col(x)))
-
-
-def count_lt(edges: Column, x: str | Column) -> Column:
-    """Number of array elements < x (right-closed bin index over sorted inner edges)."""
-    return F.size(F.filter(edges, lambda e: e < col(x)))
-
-
 def present_double(c: str | Column, digits: int = 6) -> Column:
     """Report rounding of a double that is stable across engines.
 

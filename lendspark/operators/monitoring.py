@@ -1,13 +1,11 @@
 """Scored portfolio (M39) and the five monitoring views."""
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lendspark.functions.exprs import band, money_sum, round_half_up, text_or_nan
-from lendspark.operators.histogram import attach_edges, exact_quantiles, qcut_index, quantile_edges
+from lendspark.operators.histogram import exact_quantiles, qcut_index
 from lendspark.operators.profit import LGD, MARGIN, realised_profit
 
 # Fixed band definitions (edges and labels).
@@ -30,15 +28,6 @@ SEGMENT_DIMENSIONS = {
 }
 
 
-def labelled_qcut(df: DataFrame, value: str, labels: Sequence[str], out: str) -> DataFrame:
-    """Equal-frequency bands over all rows with text labels (first labels
-    used when duplicate edges reduce the number of bands)."""
-    edges = quantile_edges(df, value, len(labels))
-    d = attach_edges(df, edges).withColumn("_q", qcut_index(value, "edges"))
-    lab = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("_q"))
-    return d.withColumn(out, F.when(F.col(value).isNull(), F.lit("nan")).otherwise(lab)).drop("edges", "_q")
-
-
 def scored_portfolio(scored: DataFrame, applicants: DataFrame, score: str, threshold: float,
                      margin: float = MARGIN, lgd: float = LGD) -> DataFrame:
     """One row per scored application with split, probability, decile,

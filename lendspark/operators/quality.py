@@ -41,11 +41,6 @@ def dataset_summary(df: DataFrame, target: str, group_cols: Sequence[str] = ())
     )
 
 
-def expected_columns(rates: DataFrame) -> DataFrame:
-    """Columns that are rarely NULL in training (candidates for the check)."""
-    return rates.where(F.col("missing_rate") < RARE_NULL_RATE).select("column_name")
-
-
 def confidence(df: DataFrame, checked: Sequence[str]) -> DataFrame:
     """Per-row data-quality level over ``checked`` columns (those rarely NULL
     in training): more than 30 unexpected NULLs → low, more than 8 → medium,

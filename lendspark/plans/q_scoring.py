@@ -18,7 +18,6 @@ from lendspark.operators.histogram import exact_quantiles
 from lendspark.operators.split import stratified_split
 from lendspark.plans.artefacts import artefact, published
 from lendspark.plans.oracle import fx, r
-from lendspark.plans.q_features import build_model_input
 from lendspark.plans.registry import query
 from lendspark.sources import fixtures
 from lendspark.sources.versions import MissingArtefact, VersionedTable

@@ -142,14 +142,6 @@ def load_csv_to_parquet(spark: SparkSession, path: str, schema: T.StructType, ou
 
 # --- S6/S7/S9: sinks -----------------------------------------------------------
 
-def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Replace the contents at a stable path (readers keep the path)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-
-
 def write_report(df: DataFrame, path: str, fmt: str = "json") -> None:
     """Small result tables as one JSON/CSV file."""
     w = df.coalesce(1).write.mode("overwrite")
