@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lendspark.functions.local import local_frame
 from lendspark.operators import fairness as fair
 from lendspark.operators import ranking
 from lendspark.operators import scorecard as sc
 from lendspark.operators import trees
 from lendspark.operators.histogram import exact_quantiles
+from lendspark.plans.artefacts import artefact
 from lendspark.plans.q_audit import customer_split
 from lendspark.plans.registry import query
 from lendspark.session import ensure_checkpoint_dir
@@ -36,24 +38,47 @@ def fit_challenger(s: DataFrame, numeric, categorical) -> trees.TreeModel:
     return trees.fit(fit_rows, "target", numeric, categorical, validation="is_valid")
 
 
+CHALLENGER = ("tree_importances", "tree_stages", "tree_scores")
+
+
+def challenger(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Importances, validation AUC by number of trees (with the number kept) and every customer's probability, as
+    published; the first job that finds no scores trains the model. The scores are published last."""
+    parts = [artefact(spark, sf_dir, name) for name in CHALLENGER]
+    if parts[-1].current() is None:
+        s, numeric, categorical = tree_inputs(spark, sf_dir)
+        tm = fit_challenger(s, numeric, categorical)
+        parts[0].publish(trees.importance(tm, spark), "feature")
+        stages = [(t, auc, t == tm.n_trees) for t, auc in enumerate(tm.stage_auc, 1)]
+        parts[1].publish(local_frame(spark, stages, "trees int, validation_auc double, kept boolean"), "trees", contracts={
+            "one number of trees is kept": "count_if(kept) = 1"})
+        scored = trees.predict(tm, s, numeric, categorical).select("sk_id_curr", "target", "split", "tree_probability")
+        parts[2].publish(scored, "sk_id_curr", contracts={
+            "probabilities lie in [0, 1]": "count_if(tree_probability IS NULL OR tree_probability NOT BETWEEN 0 AND 1) = 0"})
+    return tuple(p.read() for p in parts)
+
+
 @query("tree_challenger", "M30,M32")
 def q_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranking quality of the early-stopped tree model per split, with the
     number of trees kept and the train − validation AUC gap."""
-    s, numeric, categorical = tree_inputs(spark, sf_dir)
-    tm = fit_challenger(s, numeric, categorical)
-    scored = trees.predict(tm, s, numeric, categorical)
+    _, stages, scored = challenger(spark, sf_dir)
     m = ranking.ranking_metrics(scored, ["split"], "tree_probability", "target")
     gap = m.groupBy().agg((F.max(F.when(F.col("split") == "train", F.col("auc")))
                            - F.max(F.when(F.col("split") == "validation", F.col("auc")))).alias("overfit_gap"))
-    return m.withColumn("_k", F.lit(1)).join(gap.withColumn("_k", F.lit(1)), "_k").drop("_k") \
-        .withColumn("n_trees", F.lit(tm.n_trees))
+    kept = stages.where("kept").first()["trees"]
+    return m.withColumn("_k", F.lit(1)).join(gap.withColumn("_k", F.lit(1)), "_k").drop("_k").withColumn("n_trees", F.lit(kept))
+
+
+@query("tree_stages", "M30")
+def q_tree_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Validation AUC after each tree trained, and which number was kept."""
+    return challenger(spark, sf_dir)[1]
 
 
 @query("tree_importance", "M31")
 def q_tree_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s, numeric, categorical = tree_inputs(spark, sf_dir)
-    return trees.importance(fit_challenger(s, numeric, categorical), spark)
+    return challenger(spark, sf_dir)[0]
 
 
 @query("proxy_leakage", "M35,P18")
@@ -98,9 +123,8 @@ def q_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     card = fit_scorecard(spark, sf_dir)
     card_scored = sc.score_columns(card.frame.where(F.col("split") == "test"), card.intercept, card.coefs)
     auc_card = ranking.ranking_metrics(card_scored, [], "probability", "target").first()["auc"]
-    full = fit_challenger(s, numeric, categorical)
     test = s.where(F.col("split") == "test")
-    auc_full = ranking.ranking_metrics(trees.predict(full, test, numeric, categorical), [], "tree_probability",
+    auc_full = ranking.ranking_metrics(challenger(spark, sf_dir)[2].where("split = 'test'"), [], "tree_probability",
                                        "target").first()["auc"]
     kn = [f for f in card.kept if f in numeric]
     kc = [f for f in card.kept if f in categorical]
@@ -132,7 +156,7 @@ def q_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     logistic, scorecard, tree challenger — appended by ``unionByName``."""
     from lendspark.plans.q_scorecard import fit_scorecard
 
-    s, numeric, categorical = tree_inputs(spark, sf_dir)
+    s, _, _ = tree_inputs(spark, sf_dir)
     valid = s.where(F.col("split") == "validation")
     med = exact_quantiles(s.where(F.col("split") == "train"), "ext_source_mean", [0.5]).first()["quantile"]
     single = valid.select("target", (-F.coalesce(F.col("ext_source_mean"), F.lit(med))).alias("score"))
@@ -141,8 +165,7 @@ def q_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     card = fit_scorecard(spark, sf_dir)
     cs = sc.score_columns(card.frame.where(F.col("split") == "validation"), card.intercept, card.coefs) \
         .select("target", F.col("probability").alias("score"))
-    tree = trees.predict(fit_challenger(s, numeric, categorical), valid, numeric, categorical) \
-        .select("target", F.col("tree_probability").alias("score"))
+    tree = challenger(spark, sf_dir)[2].where("split = 'validation'").select("target", F.col("tree_probability").alias("score"))
     parts = [("single variable: ext_source_mean", single), ("baseline logistic, 10 features", base),
              (f"scorecard, {len(card.kept)} features", cs), ("boosted trees", tree)]
     out = None
