@@ -232,16 +232,18 @@ def row_ratios(app: DataFrame) -> DataFrame:
     })
 
 
-def model_input(application: DataFrame, *summaries: DataFrame) -> DataFrame:
+def model_input(application: DataFrame, *summaries: DataFrame, bucketed: bool = False) -> DataFrame:
     """Application + every summary (LEFT, one key copy) + row ratios.
 
     All summaries come out of an aggregate hash-partitioned on the customer key,
     so the chain of joins shuffles only the application side; AQE turns a side
-    into a broadcast only when its runtime size is under the threshold.
+    into a broadcast only when its runtime size is under the threshold. With
+    ``bucketed``, all tables are stored in the same buckets of the key: bucket
+    meets bucket in a merge join, and no side is shuffled or broadcast.
     """
     out = row_ratios(application)
     for s in summaries:
-        out = out.join(s, KEY, "left")
+        out = out.join(s.hint("merge") if bucketed else s, KEY, "left")
     return out
 
 

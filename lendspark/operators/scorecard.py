@@ -310,6 +310,10 @@ def score_columns(woe_df: DataFrame, intercept: float, coefs: dict[str, float])
     })
 
 
+# M27 (total) as a contract of the scored customers. Constant points or labels have no direction and pass.
+DIRECTION_HOLDS = ("coalesce(nanvl(corr(points, CAST(target AS DOUBLE)) FILTER (WHERE split = 'validation'), 0D), 0D) <= 0")
+
+
 def direction_audit(points: DataFrame) -> DataFrame:
     """M27 (per variable): corr(event rate, points) over real bins (no missing,
     n > 0, at least 2 bins) must be negative."""

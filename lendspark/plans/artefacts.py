@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lendspark.session import ensure_checkpoint_dir
-from lendspark.sources.versions import VersionedTable
+from lendspark.sources.versions import BucketedTable, VersionedTable
 
 
 def input_state(spark: SparkSession, sf_dir: str) -> str:
@@ -26,10 +26,20 @@ def input_state(spark: SparkSession, sf_dir: str) -> str:
     return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()[:16]
 
 
-def artefact(spark: SparkSession, sf_dir: str, name: str) -> VersionedTable:
+def _place(spark: SparkSession, sf_dir: str, name: str) -> str:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     run = hashlib.sha256(f"{spark.sparkContext.applicationId} {sf_dir}".encode()).hexdigest()[:16]
-    return VersionedTable(spark, f"{root}/published/{run}-{input_state(spark, sf_dir)}/{name}")
+    return f"{root}/published/{run}-{input_state(spark, sf_dir)}/{name}"
+
+
+def artefact(spark: SparkSession, sf_dir: str, name: str) -> VersionedTable:
+    return VersionedTable(spark, _place(spark, sf_dir, name))
+
+
+def bucketed(spark: SparkSession, sf_dir: str, name: str, key: str, buckets: int, build: Callable[[], DataFrame]) -> DataFrame:
+    """Like ``published``, bucketed by ``key``, which is unique."""
+    table = BucketedTable(spark, f"{_place(spark, sf_dir, name)}-{buckets}", key, buckets)
+    return table.read(table.current() or table.publish(build(), key, note=f"from {sf_dir}"))
 
 
 def published(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], key: str | None = None,

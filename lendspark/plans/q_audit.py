@@ -15,7 +15,7 @@ from lendspark.operators.split import stratified_split
 from lendspark.plans import q_scoring as qs
 from lendspark.plans.artefacts import published
 from lendspark.plans.oracle import fx
-from lendspark.plans.q_features import build_model_input, sql_model_input_body, sql_ratios_select
+from lendspark.plans.q_features import stored_model_input, sql_model_input_body, sql_ratios_select
 from lendspark.plans.registry import query
 from lendspark.sources import fixtures
 
@@ -139,7 +139,7 @@ def customer_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Model input with its split, published once. The cut values come from the applications' ids and labels alone."""
     def build() -> DataFrame:
         keys = fixtures.load(spark, sf_dir, "application").select("sk_id_curr", "target")
-        return stratified_split(build_model_input(spark, sf_dir), "sk_id_curr", "target", keys=keys)
+        return stratified_split(stored_model_input(spark, sf_dir), "sk_id_curr", "target", keys=keys)
 
     return published(spark, sf_dir, "customer_split", build, key="sk_id_curr")
 
@@ -204,7 +204,7 @@ def q_scenario_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P24 + M15: per stress scenario, PSI of each monitored feature against the
     unstressed frame. The reference side is replicated once per scenario (a
     fixed factor of 4) so PSI runs as one grouped job."""
-    mi = build_model_input(spark, sf_dir)
+    mi = stored_model_input(spark, sf_dir)
     frames = [psi_ops.apply_scenario(mi, n).select(F.lit(n).alias("scenario"),
                                                    *[F.col(f).cast("double").alias(f) for f in qs.PSI_FEATURES])
               for n in qs.SCENARIO_NAMES]
@@ -240,4 +240,4 @@ b AS (SELECT lf.*, CASE WHEN value IS NULL THEN 0 ELSE CAST({qs.sql_qcut('value'
 SELECT feature, band, count(*) AS customers, avg(CAST(target AS DOUBLE)) AS default_rate, min(value) AS min_value, max(value) AS max_value
 FROM b GROUP BY feature, band""")
 def q_monotonic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monotonic_bands(build_model_input(spark, sf_dir), MONOTONIC_FEATURES, "target")
+    return monotonic_bands(stored_model_input(spark, sf_dir), MONOTONIC_FEATURES, "target")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lendspark.operators import features as feat
 from lendspark.operators import quality
+from lendspark.plans.artefacts import bucketed
 from lendspark.plans.oracle import fx, r, ratio
 from lendspark.plans.registry import query
 from lendspark.sources import fixtures
@@ -23,6 +24,20 @@ def build_model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feat.model_input(t["application"], *feat.build_summaries(t))
 
 
+SUMMARIES = ("bureau", "previous", "installments", "pos_cash", "credit_card")     # in the order of build_summaries
+
+
+def stored_model_input(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
+    """The model input from applications and summaries that are published in buckets of the customer key, once for all
+    jobs. ``buckets`` (the session's shuffle partitions unless given) fits the data: some 200 MB of the widest table each."""
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t = tables(spark, sf_dir, "application", *RAW_ROLES)
+    rollups = feat.build_summaries(t)
+    stored = [bucketed(spark, sf_dir, f"summary_{name}", feat.KEY, n, lambda d=d: d) for name, d in zip(SUMMARIES, rollups, strict=True)]
+    application = bucketed(spark, sf_dir, "application", feat.KEY, n, lambda: t["application"])
+    return feat.model_input(application, *stored, bucketed=True)
+
+
 # --- oracle texts ---------------------------------------------------------------
 
 def sql_bureau_cte() -> str:
@@ -257,12 +272,18 @@ def q_model_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_model_input(spark, sf_dir)
 
 
+@query("model_input_stored", "A13,J2",
+       sql=lambda: sql_model_input_body() + "SELECT * FROM model_input")
+def q_model_input_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_model_input(spark, sf_dir)
+
+
 @query("missing_rates", "A20",
        sql=lambda: sql_model_input_body() + """SELECT column_name, CAST(missing_rate AS DOUBLE) AS missing_rate
 FROM (UNPIVOT (SELECT avg(CAST(COLUMNS(*) IS NULL AS DOUBLE)) FROM model_input)
       ON COLUMNS(*) INTO NAME column_name VALUE missing_rate)""")
 def q_missing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.missing_rates(build_model_input(spark, sf_dir))
+    return quality.missing_rates(stored_model_input(spark, sf_dir))
 
 
 @query("unique_key_check", "S8,S10",
@@ -270,4 +291,4 @@ def q_missing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
   count(*) - count(DISTINCT sk_id_curr) + count_if(sk_id_curr IS NULL) AS key_violations
 FROM model_input""")
 def q_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.key_report(build_model_input(spark, sf_dir), "sk_id_curr", "model_input")
+    return quality.key_report(stored_model_input(spark, sf_dir), "sk_id_curr", "model_input")

@@ -97,6 +97,7 @@ def train_scorecard(spark: SparkSession, sf_dir: str) -> None:
     scored = sc.score_columns(woe, intercept, coefs)
     frame_at.publish(scored.withColumn("additivity_error", additivity_error(scored, coefs, means, mean_logit)), "sk_id_curr", contracts={
         "contributions add up to the score": "max(additivity_error) < 1e-4",
+        "points fall as default rises (validation)": sc.DIRECTION_HOLDS,
         "probabilities lie in [0, 1]": "count_if(probability NOT BETWEEN 0 AND 1) = 0"})
     model_at.publish(local_frame(spark, [(json.dumps(model),)], "model string"), note="scorecard")
 
@@ -254,10 +255,11 @@ def q_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("direction_audit", "M27")
 def q_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Direction of each variable's points, and of the total on validation customers (a scorecard whose total is reversed
+    there is never published)."""
     m = fit_scorecard(spark, sf_dir)
     per_var = sc.direction_audit(sc.points_table(m.bins, m.intercept, m.coefs))
-    scored = sc.score_columns(m.frame, m.intercept, m.coefs)
-    overall = scored.agg(F.corr("points", F.col("target").cast("double")).alias("direction_corr"),
+    overall = m.frame.where(F.col("split") == "validation").agg(F.corr("points", F.col("target").cast("double")).alias("direction_corr"),
                          F.count(F.lit(1)).alias("bins")).select(
         F.lit("(total points)").alias("feature"), "direction_corr", "bins",
         F.when(F.col("direction_corr") < 0, "correct").otherwise("reversed").alias("status"))

@@ -12,6 +12,9 @@ at once get the same sequence number; the one of the lesser name wins and the ot
 
 Contracts are checked on the written version, which reads back only the columns they name. (Observed metrics would save
 that scan, but a session that has observed once can no longer run some of Spark's own feature transformers.) Old versions are dropped by ``vacuum`` only, which keeps the last few.
+
+A ``BucketedTable`` deals each version's rows to a fixed number of buckets by a key, one file a bucket, so that tables
+with the same buckets are joined on that key, version by version, without moving a row of them again.
 """
 from __future__ import annotations
 
@@ -79,6 +82,10 @@ class VersionedTable:
             raise MissingArtefact(f"nothing is published at {self.root}")
         return self.spark.read.parquet(self._path(version))
 
+    def _write(self, df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
+        writer = df.write.mode("errorifexists")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/versions/{name}")
+
     def publish(self, df: DataFrame, key: str | list[str] | None = None, contracts: dict[str, str] | None = None,
                 note: str = "", partition_by: tuple[str, ...] = ()) -> Version:
         """Write, check, switch. ``contracts``: by name, the SQL text of an aggregate that must be true of all rows
@@ -87,8 +94,7 @@ class VersionedTable:
         sequence = before.sequence + 1 if before else 1
         name = f"{sequence:08d}-{uuid.uuid4().hex}"
         names = list(contracts or {})
-        writer = df.write.mode("errorifexists")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/versions/{name}")
+        self._write(df, name, partition_by)
         facts = self.spark.read.schema(df.schema).parquet(f"{self.root}/versions/{name}").agg(
             F.count(F.lit(1)).alias("rows"), *[F.expr(contracts[n]).alias(f"c{i}") for i, n in enumerate(names)]).first()
         broken = [n for i, n in enumerate(names) if facts[f"c{i}"] is False]
@@ -123,3 +129,41 @@ class VersionedTable:
                 fs.delete(entry.getPath(), True)
                 gone.append(name)
         return sorted(gone)
+
+
+class BucketedTable(VersionedTable):
+    """Versions bucketed and sorted by ``key``. Bucketing is a property of a catalogue table, so each version that is read
+    or written has an entry ``version_<random>`` in the session's current database, an external table on the version's
+    files; a session that lacks the entry makes it. Rows of a NULL key share one bucket."""
+
+    def __init__(self, spark: SparkSession, root: str, key: str, buckets: int):
+        super().__init__(spark, root)
+        self.key, self.buckets = key, buckets
+
+    def _write(self, df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
+        if partition_by:
+            raise ValueError("a bucketed table is not partitioned by columns")
+        dealt = df.repartition(self.buckets, self.key)          # the rule that buckets follow: one file for each
+        dealt.write.format("parquet").mode("errorifexists").bucketBy(self.buckets, self.key).sortBy(self.key).option(
+            "path", f"{self.root}/versions/{name}").saveAsTable(_entry(name))
+
+    def read(self, version: Version | None = None) -> DataFrame:
+        version = version or self.current()
+        if version is None:
+            raise MissingArtefact(f"nothing is published at {self.root}")
+        entry = _entry(version.name)
+        if not self.spark.catalog.tableExists(entry):
+            columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in super().read(version).schema)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {entry} ({columns}) USING parquet CLUSTERED BY (`{self.key}`) "
+                           f"SORTED BY (`{self.key}`) INTO {self.buckets} BUCKETS LOCATION '{self._path(version)}'")
+        return self.spark.table(entry)
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        gone = super().vacuum(keep)
+        for name in gone:
+            self.spark.sql(f"DROP TABLE IF EXISTS {_entry(name)}")
+        return gone
+
+
+def _entry(name: str) -> str:
+    return f"version_{name.split('-')[1]}"

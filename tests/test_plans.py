@@ -32,3 +32,10 @@ def test_ranking_plan_has_no_single_partition_on_rows(spark):
     assert row_level and all("windowspecdefinition(model#" in w and "_range_bucket#" in w.split("AS _we0")[0]
                              for w in row_level)
     assert all("_bk_" in w for w in windows if w not in row_level)
+
+
+def test_stored_model_input_moves_no_row(spark):
+    from lendspark.plans.q_features import stored_model_input
+
+    text = plan_text(stored_model_input(spark, SF001, 3))
+    assert "Exchange" not in text and text.count("SortMergeJoin") == 5

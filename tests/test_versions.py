@@ -3,9 +3,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
+from lendspark.operators import scorecard as sc
 from lendspark.plans import q_scoring as qs
 from lendspark.plans.artefacts import artefact, input_state, published
-from lendspark.sources.versions import ContractError, MissingArtefact, PublishConflict, VersionedTable
+from lendspark.sources.versions import BucketedTable, ContractError, MissingArtefact, PublishConflict, VersionedTable
 
 
 @pytest.fixture
@@ -90,3 +91,42 @@ def test_views_scan_the_published_portfolio(spark):
     assert "Scan ExistingRDD" not in plan and "occupation" not in plan       # pruned columns of files, no row checkpoint
     with pytest.raises(MissingArtefact):
         qs.threshold(spark, SF001, "no such model")
+
+
+def test_bucketed_versions_join_without_exchange(spark, tmp_path):
+    one = BucketedTable(spark, str(tmp_path / "one"), "id", 4)
+    two = BucketedTable(spark, str(tmp_path / "two"), "id", 4)
+    with pytest.raises(MissingArtefact):
+        one.read()
+    rows = spark.range(1000).withColumn("v", F.col("id") % 7)
+    first = one.publish(rows, key="id")
+    two.publish(rows.where("id % 3 = 0").withColumnRenamed("v", "w"), key="id")
+    joined = one.read().join(two.read().hint("merge"), "id", "left")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+    assert joined.where("w IS NOT NULL AND w = v").count() == 334 and joined.count() == 1000
+    spark.sql(f"DROP TABLE version_{first.name.split('-')[1]}")          # another session: the entry is made anew
+    again = one.read()
+    assert again.count() == 1000 and "Exchange" not in again.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    reader = one.read(first)
+    one.publish(rows.limit(5), key="id")
+    assert reader.count() == 1000 and one.read().count() == 5
+    one.publish(rows.limit(6), key="id")
+    assert one.vacuum(keep=2) == [first.name] and one.read().count() == 6
+    with pytest.raises(ContractError):
+        one.publish(rows.union(rows), key="id")
+    with pytest.raises(ValueError, match="not partitioned"):
+        one.publish(rows, partition_by=("v",))
+
+
+def test_reversed_scorecard_is_not_published(spark, table):
+    rows = [(i, float(i), int(i > 50), "validation" if i % 2 else "train") for i in range(100)]
+    right = spark.createDataFrame(rows, "id int, points double, target int, split string")
+    contract = {"direction": sc.DIRECTION_HOLDS}
+    with pytest.raises(ContractError, match="direction"):
+        table.publish(right, key="id", contracts=contract)                  # more points, more default
+    table.publish(right.withColumn("points", -F.col("points")), key="id", contracts=contract)
+    only_train_reversed = right.withColumn("points", F.when(F.col("split") == "train", F.col("points")).otherwise(-F.col("points")))
+    table.publish(only_train_reversed, key="id", contracts=contract)
+    table.publish(right.withColumn("points", F.lit(1.0)), key="id", contracts=contract)         # no direction
+    assert table.current().sequence == 3
