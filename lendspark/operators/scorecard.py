@@ -310,8 +310,14 @@ def score_columns(woe_df: DataFrame, intercept: float, coefs: dict[str, float])
     })
 
 
-# M27 (total) as a contract of the scored customers. Constant points or labels have no direction and pass.
-DIRECTION_HOLDS = ("coalesce(nanvl(corr(points, CAST(target AS DOUBLE)) FILTER (WHERE split = 'validation'), 0D), 0D) <= 0")
+# M27 (total) as a contract of the scored customers: on validation rows points must not rise with default by more than chance
+# allows (one-sided 5 % of a correlation's standard error, 1/sqrt(n), which vanishes as rows grow). Constant points or labels
+# have no direction and pass. Written without a division by the deviations.
+DIRECTION_NOISE = 1.645
+_VALID = "FILTER (WHERE split = 'validation')"
+DIRECTION_HOLDS = (
+    f"coalesce(covar_pop(points, CAST(target AS DOUBLE)) {_VALID}, 0D) * sqrt(count(points) {_VALID}) <= "
+    f"{DIRECTION_NOISE} * coalesce(stddev_pop(points) {_VALID} * stddev_pop(target) {_VALID}, 0D)")
 
 
 def direction_audit(points: DataFrame) -> DataFrame:

@@ -259,10 +259,12 @@ def q_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
     there is never published)."""
     m = fit_scorecard(spark, sf_dir)
     per_var = sc.direction_audit(sc.points_table(m.bins, m.intercept, m.coefs))
-    overall = m.frame.where(F.col("split") == "validation").agg(F.corr("points", F.col("target").cast("double")).alias("direction_corr"),
-                         F.count(F.lit(1)).alias("bins")).select(
-        F.lit("(total points)").alias("feature"), "direction_corr", "bins",
-        F.when(F.col("direction_corr") < 0, "correct").otherwise("reversed").alias("status"))
+    y = F.col("target").cast("double")
+    overall = m.frame.where(F.col("split") == "validation").agg(
+        F.try_divide(F.covar_pop("points", y), F.stddev_pop("points") * F.stddev_pop(y)).alias("direction_corr"),
+        F.count(F.lit(1)).alias("bins")).select(
+        F.lit("(total points)").alias("feature"), "direction_corr", "bins", F.when(F.col("direction_corr") < 0, "correct")
+        .when(F.coalesce("direction_corr", F.lit(0.0)) == 0, "flat").otherwise("reversed").alias("status"))
     return per_var.unionByName(overall)
 
 
