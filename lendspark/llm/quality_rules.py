@@ -2,17 +2,23 @@
 
 Every document's character-class histogram and common-word histogram are compared
 with language references by Jensen-Shannon distance (square root of the divergence
-in bits, 0 to 1). The references are sums over the whole corpus, one per language
-that at least ``min_share`` of the documents carry, so there are at most
-``1 / min_share`` of them; the common words are the ``top_words`` most frequent
-ones of up to ``common_chars`` characters in each of those languages. A document is rejected when it is far from every
-language in either histogram, unless it is shorter than that histogram's guard.
+in bits, 0 to 1). The references are sums over the whole corpus, one for every
+language with at least ``reference_words`` words; the common words are the
+``top_words`` most frequent ones of each, of any length. A document is rejected when it is far
+from every language it is compared with in either histogram, unless it is shorter than that
+histogram's guard.
+
+A document is compared with the ``main`` languages (those of at least ``main_share``
+of the documents, so at most ``1 / main_share`` of them) and with its own language. A language with too few
+words for a reference that is not a main one either has nothing to be held against: its documents are not judged by
+divergence (``judged`` false, distances null), only by the fixed rules. The references of other languages than the main
+ones are a table of one small row a language, joined on ``lang``; Spark broadcasts it only if it is small when it runs.
 
 Fixed rules besides: fewer than ``min_words`` words, or more than half of the words
 inside three-word windows that occur twice or more in the document.
 
-Null text: no words, so it fails the fixed rules. Empty table: no rows. Null
-``lang``: counts as a language of its own. Repeated rows are judged one by one.
+Null text: no words, so it fails the fixed rules. Empty table: no rows. Null and empty
+``lang``: one language of their own. Repeated rows are judged one by one.
 """
 from __future__ import annotations
 
@@ -32,8 +38,8 @@ CLASSES = 5
 class Rules:
     min_words: int = 50
     top_words: int = 40
-    common_chars: int = 4
-    min_share: float = 0.01
+    main_share: float = 0.01
+    reference_words: int = 2000
     min_chars_guard: int = 200
     min_words_guard: int = 100
     max_char_distance: float = 0.30
@@ -109,23 +115,24 @@ def _total(a: Column) -> Column:
 def references(docs: DataFrame, rules: Rules = Rules()) -> dict:
     """Language references over all rows (lang, _words, _counts): shares of character
     classes, the common words and their shares, all from one aggregation by (language,
-    feature). Bounded: languages x (classes + common words)."""
+    feature). ``langs``, ``chars``, ``vocab`` and ``shares`` are those of the main languages (at most 1 / main_share);
+    ``others`` is a table of the rest that have enough words, None if there are none."""
     spark = docs.sparkSession
     long0 = F.lit(1).cast("long")
-    short = F.filter(F.col("_words"), lambda w: F.char_length(w) <= rules.common_chars)
     features = F.concat(
         F.transform(F.col("_counts"), lambda c, i: F.struct(F.concat(F.lit("\n"), i.cast("string")).alias("w"), c.alias("n"))),
         F.array(F.struct(F.lit("\nwords").alias("w"), F.size("_words").cast("long").alias("n")),
                 F.struct(F.lit("\ndocs").alias("w"), long0.alias("n"))),
-        F.transform(short, lambda w: F.struct(w.alias("w"), long0.alias("n"))))  # a word has no line feed
+        F.transform(F.col("_words"), lambda w: F.struct(w.alias("w"), long0.alias("n"))))  # a word has no line feed
     sums = stored(
         docs.select(F.coalesce(F.col("lang"), F.lit("")).alias("lang"), F.inline(features))
         .groupBy("lang", "w").agg(F.sum("n").alias("n")))
     docs_of = sums.where(F.col("w") == "\ndocs").select("lang", F.col("n").alias("n_docs"))
-    least = rules.min_share * (docs_of.agg(F.sum("n_docs")).first()[0] or 0)
-    names = [r["lang"] for r in docs_of.where(F.col("n_docs") >= least).orderBy("lang").collect()]  # <= 1 / min_share
+    least = rules.main_share * (docs_of.agg(F.sum("n_docs")).first()[0] or 0)
+    names = [r["lang"] for r in docs_of.where(F.col("n_docs") >= least).orderBy("lang").collect()]  # <= 1 / main_share
+    others = _other_references(sums.where(~F.col("lang").isin(names)), rules)
     if not names:
-        return {"langs": []}
+        return {"langs": [], "others": others}
     own = sums.where(F.col("lang").isin(names))
     fixed = {(r["lang"], r["w"]): r["n"] for r in own.where(F.col("w").startswith("\n")).collect()}
     chars = []
@@ -143,7 +150,45 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict:
     for r in rows:
         if r["w"] in at:
             shares[names.index(r["lang"])][at[r["w"]]] = r["n"] / r["n_lang"]
-    return {"langs": names, "chars": chars, "vocab": vocab, "shares": shares}
+    return {"langs": names, "chars": chars, "vocab": vocab, "shares": shares, "others": others}
+
+
+def _other_references(sums: DataFrame, rules: Rules) -> DataFrame | None:
+    """One row (_ref_lang, _ref_chars, _ref_words, _ref_shares) for each language with enough words; the commonest words of
+    a language are kept as its rows are aggregated, so no task holds a language's vocabulary."""
+    n_words = sums.where((F.col("w") == "\nwords") & (F.col("n") >= rules.reference_words)).select("lang", F.col("n").alias("n_lang"))
+    if n_words.isEmpty():
+        return None
+    fixed = sums.where(F.col("w").startswith("\n")).groupBy("lang").agg(
+        *[F.max(F.when(F.col("w") == f"\n{i}", F.col("n"))).alias(f"c{i}") for i in range(CLASSES)])
+    total = F.greatest(sum((F.col(f"c{i}") for i in range(CLASSES)), F.lit(0)), F.lit(1))
+    common = sums.where(~F.col("w").startswith("\n")).join(n_words, "lang").where(F.col("n") * 5000 >= F.col("n_lang"))
+    ranked = common.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w")))
+    heads = ranked.where(F.col("rank") <= rules.top_words).groupBy("lang").agg(F.sort_array(F.collect_list(
+        F.struct("w", (F.col("n") / F.col("n_lang")).alias("q")))).alias("head"))
+    return stored(n_words.join(fixed, "lang").join(heads, "lang", "left").select(
+        F.col("lang").alias("_ref_lang"), F.array(*[F.col(f"c{i}") / total for i in range(CLASSES)]).alias("_ref_chars"),
+        F.coalesce(F.col("head.w"), F.array().cast("array<string>")).alias("_ref_words"),
+        F.coalesce(F.col("head.q"), F.array().cast("array<double>")).alias("_ref_shares")))
+
+
+def _own_char_distance(counts: Column, ref: Column) -> Column:
+    """Distance to the joined reference."""
+    total = F.greatest(F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(1).cast("long"))
+    terms = let(total, lambda t: F.zip_with(F.transform(counts, lambda x: x / t), ref, lambda p, q: _kl_term(p, q) + _kl_term(q, p)))
+    return F.sqrt(F.greatest(_total(terms), F.lit(0.0)))
+
+
+def _own_word_distance(ws: Column, names: Column, shares: Column) -> Column:
+    """Distance to the joined reference over its common words and 'any other word'."""
+    def to(at: Column, n: Column) -> Column:
+        seen = F.transform(names, lambda w, i: F.size(F.filter(at, lambda a: a == i + 1)) / n)
+        rest, q_rest = F.greatest(1.0 - F.size(at) / n, F.lit(0.0)), F.greatest(1.0 - _total(shares), F.lit(0.0))
+        return _total(F.zip_with(seen, shares, lambda p, q: _kl_term(p, q) + _kl_term(q, p))) + _kl_term(rest, q_rest) + _kl_term(q_rest, rest)
+
+    places = F.filter(F.transform(ws, lambda w: F.array_position(names, w)), lambda i: i > 0)
+    return F.when(F.size(names) == 0, F.lit(0.0)).otherwise(let(places, lambda at: F.when(F.size(at) == 0, F.lit(1.0)).otherwise(
+        let(F.greatest(F.size(ws), F.lit(1)).cast("double"), lambda n: F.sqrt(F.greatest(to(at, n), F.lit(0.0)))))))
 
 
 def _char_distance(counts: Column, refs: dict) -> Column:
@@ -217,27 +262,37 @@ def _word_distance(spark, ws: Column, refs: dict) -> Column:
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """``docs`` (text, lang, any other columns) with the counts, the two distances,
-    ``base_failed`` and ``kept``."""
+    """``docs`` (text, lang, any other columns but those of ``ADDED``, which are replaced) with the counts, the two
+    distances, ``judged``, ``base_failed`` and ``kept``."""
     spark = docs.sparkSession
     names = [c for c in docs.columns if c not in ADDED]
     measured = measures(docs.select(*names))
     refs = references(measured.select("lang", "_words", "_counts"), rules)
     failed = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    none = F.lit(None).cast("double")
+    char_d = word_d = none
+    own = F.coalesce(F.col("lang"), F.lit(""))
+    main = own.isin(refs["langs"])
     if refs["langs"]:
         char_d, word_d = _char_distance(F.col("_counts"), refs), _word_distance(spark, F.col("_words"), refs)
-    else:
-        char_d = word_d = F.lit(0.0)
+    judged = main
+    if refs["others"] is not None:
+        measured = measured.join(refs["others"], own == F.col("_ref_lang"), "left")
+        has_own = F.col("_ref_lang").isNotNull()
+        judged = main | has_own
+        char_d = F.when(has_own, F.least(char_d, _own_char_distance(F.col("_counts"), F.col("_ref_chars")))).otherwise(char_d)
+        word_d = F.when(has_own, F.least(word_d, _own_word_distance(F.col("_words"), F.col("_ref_words"), F.col("_ref_shares")))).otherwise(word_d)
+    far = (((F.col("_chars") >= rules.min_chars_guard) & (F.col("char_distance") > rules.max_char_distance))
+           | ((F.col("n_words") >= rules.min_words_guard) & (F.col("word_distance") > rules.max_word_distance)))
     return (
-        measured.withColumn("char_distance", char_d)
-        .withColumn("word_distance", word_d)
+        measured.withColumn("judged", judged)
+        .withColumn("char_distance", F.when(F.col("judged"), char_d))
+        .withColumn("word_distance", F.when(F.col("judged"), word_d))
         .withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed")
-                    & ~((F.col("_chars") >= rules.min_chars_guard) & (F.col("char_distance") > rules.max_char_distance))
-                    & ~((F.col("n_words") >= rules.min_words_guard) & (F.col("word_distance") > rules.max_word_distance)))
-        .drop("_text", "_words", "_counts", "_chars")
+        .withColumn("kept", ~F.col("base_failed") & ~(F.col("judged") & far))
+        .drop("_text", "_words", "_counts", "_chars", "_ref_lang", "_ref_chars", "_ref_words", "_ref_shares")
     )
 
 
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance",
-         "base_failed", "kept", "_text", "_words", "_counts", "_chars")
+         "judged", "base_failed", "kept", "_ref_lang", "_ref_chars", "_ref_words", "_ref_shares", "_text", "_words", "_counts", "_chars")

@@ -74,10 +74,63 @@ def test_quality_distance_rejects_symbols(spark):
     assert all(got[i]["kept"] for i in range(60))
 
 
+def test_quality_small_and_many_languages(spark):
+    """Clean texts of small languages stay and junk goes, whatever the shares; below the guard nothing is judged."""
+    def text(lang, k, n, letters):
+        common = [f"{lang}{c * letters}" for c in "abcdef"]
+        return " ".join(f"{common[(k + j) % 6]} {w}{j}" for j, w in enumerate(prose(n, k)))
+
+    def judge(rows):
+        return {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+
+    main = [(i, text("en", i, 100, 1), "en") for i in range(1000)]
+    small = [(2000 + i, text("zz", i, 150, 9), "zz") for i in range(8)]         # 0.8 %, long common words
+    rare = [(3000 + i, text("yy", i, 75, 1), "yy") for i in range(5)]           # 750 words: no reference
+    junk = [(4000, " ".join(f"x{w}%%%" for w in prose(300, 5)), "zz"), (4001, " ".join(f"x{w}%%%" for w in prose(300, 6)), "en")]
+    got = judge(main + small + rare + junk)
+    assert all(got[r[0]]["kept"] for r in main + small + rare)
+    assert all(got[r[0]]["judged"] for r in main + small + junk) and not any(got[r[0]]["judged"] for r in rare)
+    assert not got[4000]["kept"] and not got[4001]["kept"] and got[3000]["word_distance"] is None
+
+    many = [(10 * g + i, text(f"l{g}x", i, 160, 1), f"l{g}") for g in range(120) for i in range(8)]
+    got = judge(many + [(9000, " ".join(f"x{w}%%%" for w in prose(300, 5)), "l7")])
+    assert all(got[r[0]]["kept"] and got[r[0]]["judged"] for r in many) and not got[9000]["kept"]
+
+
+def test_quality_distances_by_brute_force(spark):
+    """Distances to a main language and to the own, smaller one, from plain counts over every word."""
+    import math
+    from collections import Counter
+
+    def distance(p, q):
+        half = lambda a, b: sum(x * math.log2(2 * x / (x + y)) for x, y in zip(a, b) if x > 0) / 2
+        return math.sqrt(max(0.0, half(p, q) + half(q, p)))
+
+    rows = [(i, " ".join(f"{('considerably', 'of', 'the')[k % 3]} {w}" for k, w in enumerate(prose(120, i))), "en") for i in range(150)]
+    rows += [(500, " ".join(f"{('nevertheless', 'och')[k % 2]} {w}" for k, w in enumerate(prose(1500, 7))), "sv")]
+    got = {r["doc_id"]: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    heads = {}
+    for lang in ("en", "sv"):
+        count = Counter(w for _, t, g in rows if g == lang for w in t.split())
+        n = sum(count.values())
+        top = sorted((w for w in count if count[w] * 5000 >= n), key=lambda w: (-count[w], w))[:40]
+        heads[lang] = {w: count[w] / n for w in top}, {w: count[w] / n for w in count if count[w] * 5000 >= n}
+    for i, t, lang in rows[::25] + rows[-1:]:
+        ws = Counter(t.split())
+        n = sum(ws.values())
+        best = []
+        for g in {"en", lang}:
+            names = list(heads[g][0])
+            q = [heads[g][0][w] for w in names]
+            p = [ws[w] / n for w in names]
+            best.append(distance(p + [1 - sum(p)], q + [1 - sum(q)]) if sum(p) else 1.0)
+        assert got[i]["word_distance"] == pytest.approx(min(best), abs=1e-6), i
+
+
 def test_quality_empty_and_clashes(spark, docs):
     empty = quality_rules(docs.where("false"))
     assert empty.count() == 0
-    again = quality_rules(quality_rules(docs).select("doc_id", "text", "lang", "kept", "n_words"))
+    again = quality_rules(quality_rules(docs).select("doc_id", "text", "lang", "kept", "n_words", F.lit(1).alias("judged"), F.lit("x").alias("_ref_lang")))
     assert again.count() == len(corpus()) and again.columns.count("kept") == 1
 
 
