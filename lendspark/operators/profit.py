@@ -168,6 +168,21 @@ def profit_at(df: DataFrame, groups: Sequence[str], score: str, label: str, amou
     return long.select(*groups, "scenario", "threshold", *_report(long, margin, lgd))
 
 
+def uplift(scenarios: DataFrame, model: str, reference: str) -> DataFrame:
+    """From ``profit_at``'s rows (approve_all, fixed_0.50, optimum) one row per model: profit of each, gain of the
+    optimum over approving all (also as a share of that profit's size, NULL if it is zero) and over ``reference``'s optimum."""
+    of = lambda scenario, c: F.max(F.when(F.col("scenario") == scenario, F.col(c)))
+    wide = scenarios.groupBy(model).agg(
+        of("approve_all", "profit").alias("profit_approve_all"), of("fixed_0.50", "profit").alias("profit_fixed"),
+        of("optimum", "profit").alias("profit_optimum"), of("optimum", "prevented_bad").alias("prevented_bad"),
+        of("optimum", "lost_good").alias("lost_good"))
+    base = wide.groupBy().agg(F.max(F.when(F.col(model) == reference, F.col("profit_optimum"))).alias("_base"))
+    gain = F.col("profit_optimum") - F.col("profit_approve_all")
+    return wide.withColumn("_k", F.lit(1)).join(base.withColumn("_k", F.lit(1)), "_k").select(      # one row joined
+        *wide.columns, gain.alias("uplift"), F.try_divide(gain, F.abs("profit_approve_all")).alias("uplift_share"),
+        (F.col("profit_optimum") - F.col("_base")).alias("gain_over_reference"))
+
+
 def sensitivity(df: DataFrame, groups: Sequence[str], score: str, label: str, amount: str,
                 margins: Sequence[float] = SENSITIVITY_MARGINS, lgds: Sequence[float] = SENSITIVITY_LGDS) -> DataFrame:
     """Best threshold and its approval rate for every (margin, LGD) pair,

@@ -2,7 +2,7 @@
 (A21–A23, M36, M15, P24, M40) with their oracle SQL."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendspark.operators import fairness as fair
@@ -167,8 +167,8 @@ def q_feature_psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return psi_ops.feature_psi(s.where(F.col("split") == "train"), s.where(F.col("split") == "test"), qs.PSI_FEATURES)
 
 
-def _scenario_sql(name: str) -> str:
-    """PSI features of model_input under one scenario (oracle text)."""
+def _scenario_sql(name: str, source: str = "model_input") -> str:
+    """PSI features of ``source`` under one scenario (oracle text)."""
     base = {f: f"CAST({f} AS DOUBLE)" for f in qs.PSI_FEATURES}
     if name == "young_customers":
         base["age_years"] = f"-(days_birth * CAST('{psi_ops.YOUNG_BIRTH_FACTOR!r}' AS DOUBLE)) / CAST('365.25' AS DOUBLE)"
@@ -190,7 +190,7 @@ def _scenario_sql(name: str) -> str:
         base["cc_utilization_avg"] = (f"CASE WHEN cc_utilization_avg IS NOT NULL THEN least(cc_utilization_avg * "
                                       f"{lit(s['utilisation'])}, CAST('3.0' AS DOUBLE)) END")
     cols = ", ".join(f"{v} AS {k}" for k, v in base.items())
-    return f"SELECT '{name}' AS scenario, {cols} FROM model_input"
+    return f"SELECT '{name}' AS scenario, {cols} FROM {source}"
 
 
 @query("scenario_shift", "P24,M15", sql=lambda: sql_model_input_body() + ",\nscen AS (\n" + "\n  UNION ALL ".join(
@@ -202,18 +202,28 @@ n_src AS (UNPIVOT scen ON {', '.join(qs.PSI_FEATURES)} INTO NAME feature VALUE v
 """ + qs.sql_psi("r_all", "n_src", "scenario, feature") + f"\nSELECT scenario, feature, psi, CAST(n_edges AS INTEGER) AS n_edges, {qs.sql_verdict()} AS verdict FROM psi_out")
 def q_scenario_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P24 + M15: per stress scenario, PSI of each monitored feature against the
-    unstressed frame. The reference side is replicated once per scenario (a
-    fixed factor of 4) so PSI runs as one grouped job."""
+    unstressed frame, whose edges and counts are taken once."""
     mi = stored_model_input(spark, sf_dir)
-    frames = [psi_ops.apply_scenario(mi, n).select(F.lit(n).alias("scenario"),
-                                                   *[F.col(f).cast("double").alias(f) for f in qs.PSI_FEATURES])
-              for n in qs.SCENARIO_NAMES]
-    new = frames[0]
-    for f in frames[1:]:
-        new = new.unionByName(f)
-    names = F.array(*[F.lit(n) for n in qs.SCENARIO_NAMES])
-    ref = mi.select(F.explode(names).alias("scenario"), *[F.col(f).cast("double").alias(f) for f in qs.PSI_FEATURES])
-    return psi_ops.feature_psi(ref, new, qs.PSI_FEATURES, ["scenario"])
+    return psi_ops.feature_psi(mi, psi_ops.stressed(mi, qs.SCENARIO_NAMES), qs.PSI_FEATURES, by="scenario", names=qs.SCENARIO_NAMES)
+
+
+@query("scenario_drift", "P24,M15", sql=lambda: sql_customer_split() + ",\nscen AS (\n" + "\n  UNION ALL ".join(
+    _scenario_sql(n, "msplit WHERE split = 'test'") for n in qs.SCENARIO_NAMES) + f"""
+),
+r_src AS (UNPIVOT (SELECT {_features_sql()} FROM msplit WHERE split = 'train') ON {', '.join(qs.PSI_FEATURES)} INTO NAME feature VALUE value),
+r_all AS (SELECT s.scenario, r.feature, r.value FROM r_src r, (SELECT DISTINCT scenario FROM scen) s),
+n_src AS (UNPIVOT scen ON {', '.join(qs.PSI_FEATURES)} INTO NAME feature VALUE value),
+""" + qs.sql_psi("r_all", "n_src", "scenario, feature") + f"""
+SELECT scenario, feature, psi, {qs.sql_verdict()} AS verdict,
+  CAST(row_number() OVER (PARTITION BY scenario ORDER BY round(coalesce(psi, -1.0), 9) DESC, feature) AS INTEGER) AS shift_rank FROM psi_out""")
+def q_scenario_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stressed test customers against training customers: PSI of each monitored feature, most shifted first."""
+    s = customer_split(spark, sf_dir)
+    test = psi_ops.stressed(s.where(F.col("split") == "test"), qs.SCENARIO_NAMES)
+    d = psi_ops.feature_psi(s.where(F.col("split") == "train"), test, qs.PSI_FEATURES, by="scenario", names=qs.SCENARIO_NAMES)
+    # a window over features: one row a feature and scenario
+    w = Window.partitionBy("scenario").orderBy(F.desc(F.round(F.coalesce("psi", F.lit(-1.0)), 9)), "feature")
+    return d.select("scenario", "feature", "psi", "verdict", F.row_number().over(w).alias("shift_rank"))
 
 
 def monotonic_bands(df: DataFrame, features: list[str], label: str, n_bins: int = 5) -> DataFrame:

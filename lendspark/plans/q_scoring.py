@@ -301,7 +301,8 @@ def _sql_best(source_curve: str = "curve", groups: str = "model") -> str:
 )"""
 
 
-@query("best_cutoff", "M11,Q4", sql=lambda: sql_split_ctes() + ",\n" + sql_grid() + ",\nvalid AS (SELECT * FROM long WHERE split = 'validation'),\n"
+def sql_cutoff_ctes() -> str:
+    return (sql_split_ctes() + ",\n" + sql_grid() + ",\nvalid AS (SELECT * FROM long WHERE split = 'validation'),\n"
        + sql_curve("valid", "model") + ",\n" + _sql_best() + f""",
 test AS (SELECT * FROM long WHERE split = 'test'),
 sc AS (
@@ -316,7 +317,10 @@ agg AS (
     CAST(coalesce(sum(CASE WHEN score < threshold AND target = 0 THEN CAST(amt_credit AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS amt_good_approved,
     CAST(coalesce(sum(CASE WHEN score < threshold AND target = 1 THEN CAST(amt_credit AS DECIMAL(18,2)) END), 0) AS DOUBLE) AS amt_bad_approved
   FROM test JOIN sc USING (model) GROUP BY model, scenario, threshold
-)
+)""")
+
+
+@query("best_cutoff", "M11,Q4", sql=lambda: sql_cutoff_ctes() + f"""
 SELECT model, scenario, threshold, CAST(approved AS DOUBLE) / n_total AS approval_rate,
   amt_good_approved * CAST('{prof.MARGIN!r}' AS DOUBLE) - amt_bad_approved * CAST('{prof.LGD!r}' AS DOUBLE) AS profit,
   (amt_good_approved * CAST('{prof.MARGIN!r}' AS DOUBLE) - amt_bad_approved * CAST('{prof.LGD!r}' AS DOUBLE)) / n_total AS profit_per_application,
@@ -335,6 +339,23 @@ def q_best_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+@query("profit_uplift", "M11", sql=lambda: sql_cutoff_ctes() + f""",
+pr AS (SELECT *, amt_good_approved * CAST('{prof.MARGIN!r}' AS DOUBLE) - amt_bad_approved * CAST('{prof.LGD!r}' AS DOUBLE) AS profit FROM agg),
+w AS (SELECT model, max(CASE WHEN scenario = 'approve_all' THEN profit END) AS profit_approve_all,
+        max(CASE WHEN scenario = 'fixed_0.50' THEN profit END) AS profit_fixed, max(CASE WHEN scenario = 'optimum' THEN profit END) AS profit_optimum,
+        max(CASE WHEN scenario = 'optimum' THEN bad_total - bad_approved END) AS prevented_bad,
+        max(CASE WHEN scenario = 'optimum' THEN good_total - good_approved END) AS lost_good FROM pr GROUP BY model)
+SELECT *, profit_optimum - profit_approve_all AS uplift, (profit_optimum - profit_approve_all) / abs(nullif(profit_approve_all, 0)) AS uplift_share,
+  profit_optimum - (SELECT profit_optimum FROM w WHERE model = '{MODELS[0]}') AS gain_over_reference FROM w""")
+def q_uplift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each model's published cut-off earns on test over approving all, and over the first model's."""
+    best = policy(spark, sf_dir).select("model", "best_threshold")          # one row per model
+    test = scored_long(spark, sf_dir).where(F.col("split") == "test").join(F.broadcast(best), "model")
+    return prof.uplift(prof.profit_at(test, ["model"], "score", "target", "amt_credit", {
+        "approve_all": F.lit(prof.APPROVE_ALL_THRESHOLD), "fixed_0.50": F.lit(prof.FIXED_THRESHOLD),
+        "optimum": F.col("best_threshold")}), "model", MODELS[0])
+
+
 @query("profit_sensitivity", "M12", sql=lambda: sql_split_ctes() + ",\n" + sql_grid() + ",\nvalid AS (SELECT * FROM long WHERE split = 'validation'),\n"
        + f"""tot AS (SELECT model, count(*) AS n_total FROM valid GROUP BY model),
 cr AS (
