@@ -369,3 +369,32 @@ def top_reasons(contrib: Column, k: int) -> Column:
         x["c"]["feature"].alias("feature"), x["c"]["contribution"].alias("contribution"),
         F.when(x["c"]["contribution"] > 0, F.lit("raises risk")).otherwise(F.lit("lowers risk")).alias("direction"),
         x["c"]["woe"].alias("woe")))
+
+
+# --- M41 funnel, J3 ranks -----------------------------------------------------------
+
+def selection_funnel(stages: Sequence[tuple[str, Sequence[str]]]) -> list[tuple]:
+    """(step, stage, features left, features that the step removed) for each stage. A stage that holds a feature which
+    the one before does not is an error."""
+    out, before = [], None
+    for step, (stage, features) in enumerate(stages):
+        left = set(features)
+        if before is not None and left - before:
+            raise ValueError(f"{stage}: not in the stage before: {sorted(left - before)}")
+        out.append((step, stage, len(left), sorted(before - left) if before is not None else []))
+        before = left
+    return out
+
+
+def rank_features(importance: DataFrame, value: str, rank: str) -> DataFrame:
+    """Rank 1, 2, ... by ``value``, largest first, equal ones by name. One row per feature."""
+    return importance.withColumn(rank, F.row_number().over(Window.orderBy(F.desc(value), "feature")))
+
+
+def rank_disagreement(contribution: DataFrame, gain: DataFrame) -> DataFrame:
+    """Features by contribution rank beside their gain rank, counted from 1 among the same features, and ``disagreement``,
+    the gain rank less the contribution rank. Both sides hold one row per feature."""
+    both = contribution.join(gain, "feature", "left")
+    among = F.row_number().over(Window.orderBy(F.asc_nulls_last("gain_rank"), "feature"))
+    both = both.withColumn("gain_rank_here", F.when(F.col("gain_rank").isNotNull(), among))
+    return both.withColumn("disagreement", F.col("gain_rank_here") - F.col("contribution_rank"))

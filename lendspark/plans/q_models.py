@@ -10,8 +10,9 @@ from lendspark.operators import fairness as fair
 from lendspark.operators import ranking
 from lendspark.operators import scorecard as sc
 from lendspark.operators import trees
+from lendspark.operators.bootstrap import paired_difference
 from lendspark.operators.histogram import exact_quantiles
-from lendspark.plans.artefacts import artefact
+from lendspark.plans.artefacts import artefact, published
 from lendspark.plans.q_audit import customer_split
 from lendspark.plans.registry import query
 from lendspark.session import ensure_checkpoint_dir
@@ -112,33 +113,58 @@ def q_proxy(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        "top_proxies array<string>")
 
 
+GAP_MODELS = ("scorecard", "same_features", "all_features")
+
+
+def gap_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of the scorecard, of a tree model on exactly its features and of the challenger for every customer,
+    published once."""
+    from lendspark.plans.q_scorecard import fit_scorecard
+
+    def build() -> DataFrame:
+        s, numeric, categorical = tree_inputs(spark, sf_dir)
+        card = fit_scorecard(spark, sf_dir)
+        kn, kc = [f for f in card.kept if f in numeric], [f for f in card.kept if f in categorical]
+        same = trees.predict(fit_challenger(s, kn, kc), s, kn, kc).select("sk_id_curr", F.col("tree_probability").alias(GAP_MODELS[1]))
+        scored = sc.score_columns(card.frame, card.intercept, card.coefs).select(
+            "sk_id_curr", "target", "split", F.col("probability").alias(GAP_MODELS[0]))
+        full = challenger(spark, sf_dir)[2].select("sk_id_curr", F.col("tree_probability").alias(GAP_MODELS[2]))
+        return scored.join(same, "sk_id_curr").join(full, "sk_id_curr")
+
+    return published(spark, sf_dir, "gap_scores", build, key="sk_id_curr", contracts={
+        "every customer has all scores": f"count_if({' OR '.join(f'{m} IS NULL' for m in GAP_MODELS)}) = 0"})
+
+
 @query("gap_decomposition", "M18")
 def q_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test-AUC gap between the tree challenger and the scorecard, split into
     model class (tree refitted on exactly the scorecard's features) and extra
     features."""
-    from lendspark.plans.q_scorecard import fit_scorecard
-
-    s, numeric, categorical = tree_inputs(spark, sf_dir)
-    card = fit_scorecard(spark, sf_dir)
-    card_scored = sc.score_columns(card.frame.where(F.col("split") == "test"), card.intercept, card.coefs)
-    auc_card = ranking.ranking_metrics(card_scored, [], "probability", "target").first()["auc"]
-    test = s.where(F.col("split") == "test")
-    auc_full = ranking.ranking_metrics(challenger(spark, sf_dir)[2].where("split = 'test'"), [], "tree_probability",
-                                       "target").first()["auc"]
-    kn = [f for f in card.kept if f in numeric]
-    kc = [f for f in card.kept if f in categorical]
-    same = fit_challenger(s, kn, kc)
-    auc_same = ranking.ranking_metrics(trees.predict(same, test, kn, kc), [], "tree_probability",
-                                       "target").first()["auc"]
-    total = auc_full - auc_card
-    cls = auc_same - auc_card
-    extra = total - cls
+    test = gap_scores(spark, sf_dir).where(F.col("split") == "test").unpivot(["target"], list(GAP_MODELS), "model", "score")
+    auc = {r["model"]: r["auc"] for r in ranking.ranking_metrics(test, ["model"], "score", "target").select("model", "auc").collect()}
+    auc_card, auc_same, auc_full = (auc.get(m) for m in GAP_MODELS)
+    known = None not in (auc_card, auc_same, auc_full)            # one class only among the test rows: no AUC, no gap
+    total = auc_full - auc_card if known else None
+    cls = auc_same - auc_card if known else None
+    extra = total - cls if known else None
     share = (lambda v: v / total if total else None)
     rows = [("scorecard", auc_card, None, None), ("tree, scorecard features", auc_same, cls, share(cls)),
             ("tree, all compliant features", auc_full, total, 1.0 if total else None),
             ("extra features", None, extra, share(extra))]
-    return spark.createDataFrame(rows, "component string, auc double, auc_gain double, share double")
+    return local_frame(spark, rows, "component string, auc double, auc_gain double, share double")
+
+
+@query("gap_intervals", "M17,M18")
+def q_gap_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three paired comparisons behind the gap, on the same test customers and the same bootstrap draws: difference in
+    AUC, 95 % interval, p-value, and whether the interval leaves out zero."""
+    test = gap_scores(spark, sf_dir).where(F.col("split") == "test")
+    card, same, full = GAP_MODELS
+    out = None
+    for comparison, a, b in (("total", full, card), ("model class", same, card), ("extra features", full, same)):
+        d = paired_difference(test, "sk_id_curr", a, b, "target").withColumn("comparison", F.lit(comparison))
+        out = d if out is None else out.unionByName(d)
+    return out.withColumn("significant", (F.col("ci_low") > 0) | (F.col("ci_high") < 0))
 
 
 @query("baseline_logit", "P23,M25,M6")

@@ -4,10 +4,11 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lendspark.operators import fairness as fair
+from lendspark.operators import psi as psi_ops
 from lendspark.operators import ranking
 from lendspark.operators import scorecard as sc
 from lendspark.plans import q_scoring as qs
@@ -29,7 +30,7 @@ CANDIDATE_CATEGORICAL = ["name_contract_type", "name_education_type", "occupatio
                          "name_family_status"]
 NUMERIC = fair.compliant_features(CANDIDATE_NUMERIC)
 CATEGORICAL = fair.compliant_features(CANDIDATE_CATEGORICAL)
-REASONS = 12         # offline; the online scorer gives 8
+REASONS, ONLINE_REASONS = 12, 8
 
 
 def binned_train(spark: SparkSession, sf_dir: str):
@@ -290,14 +291,17 @@ def q_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("global_importance", "M34,J3,W2")
-def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = fit_scorecard(spark, sf_dir)
+def mean_contributions(m: FittedScorecard) -> DataFrame:
+    """Mean |contribution| per model feature over all customers (one row per feature)."""
     scored = sc.contributions(sc.score_columns(m.frame, m.intercept, m.coefs), m.coefs, m.means)
     ex = scored.select(F.explode("contribs").alias("c")).select("c.feature", F.abs("c.contribution").alias("a"))
-    imp = ex.groupBy("feature").agg(F.avg("a").alias("mean_abs_contribution"))
-    from pyspark.sql import Window
+    return ex.groupBy("feature").agg(F.avg("a").alias("mean_abs_contribution"))
+
 
+@query("global_importance", "M34,W2")
+def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = fit_scorecard(spark, sf_dir)
+    imp = mean_contributions(m)
     total = F.sum("mean_abs_contribution").over(Window.partitionBy(F.lit(0)))
     imp = imp.withColumn("share", F.col("mean_abs_contribution") / total)
     imp = imp.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mean_abs_contribution"), "feature")))
@@ -307,6 +311,64 @@ def q_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imp.join(iv_rank, "feature", "left").withColumn("rank_change", F.col("iv_rank") - F.col("rank"))
 
 
+@query("importance_ranks", "J3,M31,M34,W2")
+def q_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the scorecard's features stand by contribution and by the challenger's gain. A feature that the challenger does
+    not take has no gain rank."""
+    from lendspark.plans.q_models import challenger
+
+    ranks = sc.rank_features(mean_contributions(fit_scorecard(spark, sf_dir)), "mean_abs_contribution", "contribution_rank")
+    gain = challenger(spark, sf_dir)[0].select("feature", F.col("importance").alias("gain"), F.col("rank").alias("gain_rank"))
+    return sc.rank_disagreement(ranks, gain)
+
+
+@query("selection_funnel", "M41,M36")
+def q_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate features left after each step of the scorecard's selection, and those that the step took out."""
+    m = fit_scorecard(spark, sf_dir)
+    iv = {r["feature"] for r in m.ivs.where("selected").select("feature").collect()}                # one row per feature
+    return local_frame(spark, sc.selection_funnel([
+        ("candidates", CANDIDATE_NUMERIC + CANDIDATE_CATEGORICAL),
+        ("protected features removed", NUMERIC + CATEGORICAL),
+        ("information value", iv),
+        ("correlation", [p[0] for p in m.pruning if p[1]]),
+        ("sign", m.kept)]), "step int, stage string, features int, removed array<string>")
+
+
+@query("reason_values", "M33,Q2")
+def q_reason_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The online scorer's answer for test customers: their strongest reasons, each with the customer's own value."""
+    m = fit_scorecard(spark, sf_dir)
+    test = sc.score_columns(m.frame.where(F.col("split") == "test"), m.intercept, m.coefs)
+    top = sc.contributions(test, m.coefs, m.means).select(
+        "sk_id_curr", "probability", F.posexplode(sc.top_reasons(F.col("contribs"), ONLINE_REASONS)).alias("pos", "r"))
+    raw = customer_split(spark, sf_dir).where(F.col("split") == "test")
+    values = raw.select("sk_id_curr", F.create_map(*[x for f in m.kept for x in (F.lit(f), F.col(f).cast("string"))]).alias("raw"))
+    return top.join(values, "sk_id_curr").select(
+        "sk_id_curr", "probability", (F.col("pos") + 1).alias("reason_rank"), "r.feature", "r.contribution", "r.direction",
+        F.col("raw")[F.col("r.feature")].alias("value"))
+
+
+DRIFT_FEATURES = 10          # the strongest numeric features are monitored
+
+
+@query("drift_report", "M15,P24,M6,M13,M14")
+def q_drift_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The published scorecard on test customers under each scenario, against the training customers it was fitted on."""
+    m = fit_scorecard(spark, sf_dir)
+    strong = mean_contributions(m).where(F.col("feature").isin([f for f in m.kept if f in NUMERIC])).orderBy(
+        F.desc("mean_abs_contribution"), "feature").limit(DRIFT_FEATURES).collect()
+    watched = [r["feature"] for r in strong]
+    s = customer_split(spark, sf_dir)
+    keep = ["target", *watched]
+    train = s.where(F.col("split") == "train").select("sk_id_curr", *watched).join(
+        m.frame.where(F.col("split") == "train").select("sk_id_curr", "probability"), "sk_id_curr")
+    test = psi_ops.stressed(s.where(F.col("split") == "test"), qs.SCENARIO_NAMES)
+    woe = sc.BinMap.collect(m.bins).transform(test, [f for f in m.kept if f in NUMERIC], [f for f in m.kept if f in CATEGORICAL],
+                                              ["scenario", *keep])
+    return psi_ops.drift_report(train, sc.score_columns(woe, m.intercept, m.coefs), qs.SCENARIO_NAMES, "probability", "target", watched)
+
+
 @query("data_quality", "M37,A20", sql=lambda: sql_customer_split() + f""",
 tr AS (SELECT * FROM msplit WHERE split = 'train'),
 rates AS (SELECT * FROM (SELECT {', '.join(f'avg(CAST({f} IS NULL AS DOUBLE)) AS {f}' for f in NUMERIC + CATEGORICAL)} FROM tr)
