@@ -17,15 +17,30 @@ from lendspark.functions.local import local_frame
 from lendspark.plans.artefacts import artefact
 from lendspark.plans.registry import query
 
-CANDIDATE_NUMERIC = [
-    "ext_source_1", "ext_source_2", "ext_source_3", "ext_source_mean", "ext_source_min", "ext_source_max",
-    "credit_income_ratio", "annuity_income_ratio", "credit_goods_ratio", "credit_term", "income_per_person",
-    "age_years", "employed_years", "employed_life_ratio", "amt_credit", "amt_income_total", "amt_annuity",
-    "cnt_children", "cnt_fam_members", "region_rating_client_w_city",
-    "bureau_debt_ratio", "bb_dpd_ratio", "bureau_credit_count", "prev_refused_ratio",
-    "prev_credit_to_application_ratio", "inst_late_ratio", "inst_payment_ratio", "inst_dpd_avg",
-    "pos_dpd_ratio", "cc_utilization_avg",
-]
+#: All numeric and boolean columns of the model input but for four unrounded averages of fractional doubles: prev_amt_annuity_avg,
+#: prev_down_payment_rate_avg, cc_balance_avg, cc_limit_avg. Their last bit follows the order in which rows are summed, and a
+#: value on a decile edge changes its bin with it, so they wait until the rollups average them exactly.
+CANDIDATE_NUMERIC = """
+ext_source_1 ext_source_2 ext_source_3 ext_source_mean ext_source_min ext_source_max ext_source_count
+credit_income_ratio annuity_income_ratio credit_goods_ratio credit_term income_per_person age_years employed_years employed_life_ratio
+flag_not_employed amt_credit amt_income_total amt_annuity amt_goods_price days_birth days_employed cnt_children cnt_fam_members
+region_rating_client_w_city
+bureau_credit_count bureau_active_count bureau_closed_count bureau_bad_count bureau_type_count bureau_amt_sum bureau_debt_sum
+bureau_overdue_sum bureau_debt_ratio bureau_max_overdue_days bureau_overdue_credit_count bureau_prolong_sum bureau_days_since_last
+bureau_days_since_first bb_total_months bb_dpd_months bb_severe_dpd_months bb_worst_status bb_dpd_ratio
+prev_app_count prev_approved_count prev_refused_count prev_canceled_count prev_unused_count prev_refused_ratio prev_refused_last_year
+prev_days_since_last prev_days_since_first prev_days_since_last_refusal prev_amt_application_sum prev_amt_credit_sum
+prev_credit_to_application_ratio prev_term_avg prev_cash_count prev_consumer_count prev_revolving_count
+prev_reject_hc prev_reject_limit prev_reject_sco prev_insured_ratio
+inst_count inst_late_count inst_late30_count inst_late_ratio inst_late30_ratio inst_dpd_max inst_dpd_avg inst_unpaid_count
+inst_underpaid_count inst_underpaid_ratio inst_amt_due_sum inst_amt_paid_sum inst_payment_ratio inst_count_1y inst_late_count_1y
+inst_late_ratio_1y
+pos_month_count pos_contract_count pos_dpd_months pos_dpd30_months pos_dpd_ratio pos_dpd_max pos_dpd_def_max pos_active_months
+pos_completed_months pos_demand_months pos_term_avg pos_remaining_avg pos_months_since_last pos_months_1y pos_dpd_months_1y pos_dpd_ratio_1y
+cc_month_count cc_card_count cc_utilization_avg cc_utilization_max cc_over_limit_months cc_atm_drawings_sum cc_drawings_sum
+cc_atm_drawings_ratio cc_payment_to_min_ratio cc_zero_payment_months cc_balance_max cc_dpd_months cc_dpd_ratio
+cc_dpd_max cc_dpd_def_max cc_active_months cc_months_since_last cc_utilization_avg_1y cc_dpd_months_1y
+""".split()
 CANDIDATE_CATEGORICAL = ["name_contract_type", "name_education_type", "occupation_type", "code_gender",
                          "name_family_status"]
 NUMERIC = fair.compliant_features(CANDIDATE_NUMERIC)
