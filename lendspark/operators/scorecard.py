@@ -249,7 +249,14 @@ def correlation_prune(woe_df: DataFrame, ranked: Sequence[str], limit: float = C
 
 def fit_logit(woe_df: DataFrame, features: Sequence[str], label: str, n_rows: int, max_iter: int = 200):
     """L2 logistic regression equal to C=1 without class weights
-    (regParam = 1/n, no standardisation)."""
+    (regParam = 1/n, no standardisation). Without features the intercept is the
+    log odds of the rows, which is the same fit; one class only: infinite."""
+    if not features:
+        y = woe_df.agg(F.sum(F.col(label).cast("double")).alias("bad"), F.count(label).alias("n")).first()
+        if not y["n"]:
+            raise ValueError("no rows to fit")
+        good = y["n"] - y["bad"]
+        return math.log(y["bad"] / good) if y["bad"] and good else math.inf if y["bad"] else -math.inf, {}
     cols = [f"woe_{f}" for f in features]
     data = VectorAssembler(inputCols=cols, outputCol="features").transform(woe_df).select(
         "features", F.col(label).cast("double").alias("label"))
@@ -288,10 +295,10 @@ def pdo_offset(pdo: float = PDO, odds: float = PDO_ODDS, points: float = PDO_POI
 
 
 def points_table(bins: DataFrame, intercept: float, coefs: dict[str, float]) -> DataFrame:
-    """Points per bin = −(β·WOE + α/n)·factor + offset/n (high = low risk)."""
-    n = len(coefs)
+    """Points per bin = −(β·WOE + α/n)·factor + offset/n (high = low risk). A scorecard without features has no rows."""
+    n = max(len(coefs), 1)
     factor, offset = pdo_factor(), pdo_offset()
-    beta = F.create_map(*[x for f, c in coefs.items() for x in (F.lit(f), F.lit(c))])
+    beta = F.create_map(*[x for f, c in coefs.items() for x in (F.lit(f), F.lit(c))]).cast("map<string,double>")
     t = bins.where(F.col("feature").isin(list(coefs))).withColumn("coefficient", beta[F.col("feature")])
     pts = -(F.col("coefficient") * F.col("woe") + F.lit(intercept / n)) * F.lit(factor) + F.lit(offset / n)
     return t.withColumn("points", pts)
@@ -356,7 +363,7 @@ def contributions(scored: DataFrame, coefs: dict[str, float], means: dict[str, f
     arr = F.array(*[F.struct(F.lit(f).alias("feature"),
                              (F.lit(c) * (F.col(f"woe_{f}") - F.lit(means[f]))).alias("contribution"),
                              F.col(f"woe_{f}").alias("woe")) for f, c in coefs.items()])
-    return scored.withColumn("contribs", arr)
+    return scored.withColumn("contribs", arr.cast("array<struct<feature:string,contribution:double,woe:double>>"))
 
 
 def top_reasons(contrib: Column, k: int) -> Column:

@@ -51,8 +51,11 @@ class TreeModel:
 
 def prepare(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[DataFrame, list[str]]:
     """Sentinel-filled numerics + missing indicators; categorical columns kept
-    as text for the indexer."""
+    as text for the indexer. Without features a constant stands in: the trees
+    are then single leaves."""
     cols, inputs = [], []
+    if not (numeric or categorical):
+        return df.withColumn("n_", F.lit(0.0)), ["n_"]
     for f in numeric:
         c = F.col(f).cast("double")
         cols.append(F.coalesce(c, F.lit(SENTINEL)).alias(f"n_{f}"))
@@ -172,7 +175,7 @@ def importance(tm: TreeModel, spark) -> DataFrame:
     missing indicator), with share and rank; ``used`` = importance > 0."""
     imp = tm.model.stages[-1].featureImportances.toArray()
     per: dict[str, float] = {}
-    for name, v in zip(tm.inputs, imp):
+    for name, v in zip(tm.inputs if tm.features else [], imp):
         per[name[2:]] = per.get(name[2:], 0.0) + float(v)
     rows = sorted(per.items(), key=lambda kv: (-kv[1], kv[0]))
     total = sum(v for _, v in rows) or 1.0

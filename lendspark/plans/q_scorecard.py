@@ -106,7 +106,7 @@ def train_scorecard(spark: SparkSession, sf_dir: str) -> None:
     pruning = sc.correlation_prune(train_woe, selected)
     survivors = [p[0] for p in pruning if p[1]]
     kept, intercept, coefs, rounds, dropped = sc.sign_repair(train_woe, survivors, "target", train_woe.count())
-    means_row = train_woe.agg(*[F.avg(f"woe_{f}").alias(f) for f in kept]).first()
+    means_row = train_woe.agg(F.count(F.lit(1)).alias("_rows"), *[F.avg(f"woe_{f}").alias(f) for f in kept]).first()
     means = {f: float(means_row[f]) for f in kept}
     model = {"pruning": pruning, "kept": kept, "intercept": intercept, "coefs": coefs, "rounds": rounds, "dropped": dropped, "means": means}
     mean_logit = intercept + sum(c * means[f] for f, c in coefs.items())
@@ -358,7 +358,7 @@ def q_reason_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = sc.contributions(test, m.coefs, m.means).select(
         "sk_id_curr", "probability", F.posexplode(sc.top_reasons(F.col("contribs"), ONLINE_REASONS)).alias("pos", "r"))
     raw = customer_split(spark, sf_dir).where(F.col("split") == "test")
-    values = raw.select("sk_id_curr", F.create_map(*[x for f in m.kept for x in (F.lit(f), F.col(f).cast("string"))]).alias("raw"))
+    values = raw.select("sk_id_curr", F.create_map(*[x for f in m.kept for x in (F.lit(f), F.col(f).cast("string"))]).cast("map<string,string>").alias("raw"))
     return top.join(values, "sk_id_curr").select(
         "sk_id_curr", "probability", (F.col("pos") + 1).alias("reason_rank"), "r.feature", "r.contribution", "r.direction",
         F.col("raw")[F.col("r.feature")].alias("value"))
