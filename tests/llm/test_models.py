@@ -215,6 +215,19 @@ def test_extract_by_host(spark):
     assert extract_main_text(df.where("false")).count() == 0
 
 
+def test_extract_does_not_depend_on_shards(spark):
+    """A notice on half of a host's pages goes, one on fewer stays, however the host is cut."""
+    often, seldom = "<p>this notice stands on exactly one half of all the pages</p>", "<p>that notice stands on one page less than the half of them</p>"
+    pages = [(i, "http://h/x", f"<body>{often * (i < 15)}{seldom * (i % 2 and i > 1)}<p>{' '.join(f'own{i}x{j}' for j in range(30))}</p></body>") for i in range(30)]
+    pages += [(100 + i, "http://k/x", f"<body>{often}<p>{' '.join(f'own{i}x{j}' for j in range(30))}</p></body>") for i in range(9)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    for shard_bytes in (3_000_000, 2500, 1):
+        text = {r["page_id"]: r["text"] for r in extract_main_text(df, Extraction(shard_bytes=shard_bytes)).collect()}
+        assert sum("this notice" in text[i] for i in range(30)) == 0
+        assert sum("that notice" in text[i] for i in range(30)) == 14
+        assert sum("this notice" in text[100 + i] for i in range(9)) == 9        # fewer than ten pages
+
+
 # --- language model
 
 def test_draw_tables_is_the_exact_conditional():
