@@ -10,8 +10,8 @@ sequence also starts earlier (smaller id; same document: earlier start). Windows
    and each chunk learns which of its phrases start earlier in another chunk. A chunk sends a phrase once however
    often it repeats, so a passage that a third of all documents hold costs one entry a chunk, and buckets are even.
 3. Automata. A chunk's confirmed phrases (those that start earlier elsewhere, those that repeat inside) are compiled
-   into Aho-Corasick automata of at most ``phrases`` each, one symbol a word, and all its documents stream through
-   them: every occurrence is located, on the words themselves. So automata are sharded by the documents that can
+   into Aho-Corasick automata of at most ``phrases`` each (those that occur once in the chunk and overlap are one
+   longer phrase), and all its documents stream through them: every occurrence is located, on the words themselves. So automata are sharded by the documents that can
    match them, and each document passes its own shard only, whatever the number of phrases in the corpus.
 
 Nothing is capped or sampled. Null text, or no words: nothing to remove, the text is empty. Documents of equal id are
@@ -223,9 +223,11 @@ def _repeated(chunk: _Chunk) -> np.ndarray:
     return chunk.windows[some[first[count > 1]]]
 
 
-def _located(chunk: _Chunk, settings: PassageDedup, starts: np.ndarray, elsewhere: np.ndarray) -> np.ndarray:
-    """Which words go: the phrases that start at ``starts`` are located in all documents of the chunk. ``elsewhere``:
-    whether a phrase starts earlier in another chunk; if not, its first occurrence (the one in ``starts``) stays.
+def _located(chunk: _Chunk, settings: PassageDedup, starts: np.ndarray, elsewhere: np.ndarray, again: np.ndarray | None = None) -> np.ndarray:
+    """Which words go: the phrases that start at ``starts``, ascending, are located in all documents of the chunk.
+    ``elsewhere``: whether a phrase starts earlier in another chunk; if not, its first occurrence (the one in ``starts``)
+    stays. ``again``: whether it repeats inside the chunk (not given: it may). Phrases that do not, from one word to the next, are one longer
+    phrase: it is found where they are, and the automaton has a path for the passage, not for each of its windows.
 
     A word is two symbols from ranges of their own, so that an automaton's node has few edges to search; words that no
     phrase has, and the gaps between documents, are one word more."""
@@ -244,19 +246,24 @@ def _located(chunk: _Chunk, settings: PassageDedup, starts: np.ndarray, elsewher
     line = np.insert(number[chunk.ids], chunk.ends, 0)
     base = int(len(known) ** 0.5) + 1  # both ranges end far below the surrogates
     text = np.stack([line // base + 1, line % base + base + 3], axis=1).astype("<u4").tobytes().decode("utf-32-le")
+    alone = elsewhere & ~again if again is not None else np.zeros(len(starts), bool)
+    first = np.flatnonzero(np.r_[True, (np.diff(starts) != 1) | ~alone[1:] | ~alone[:-1]])
+    sizes = starts[np.r_[first[1:], len(starts)] - 1] - starts[first] + size
+    starts, elsewhere = starts[first], elsewhere[first]
     places = starts + np.searchsorted(chunk.ends, starts, side="right")  # gaps before a phrase
     ends = np.array(chunk.ends) + np.arange(len(chunk.ends))
     for cut in range(0, len(starts), settings.phrases):
-        own, at = elsewhere[cut:cut + settings.phrases], places[cut:cut + settings.phrases]
+        own, at, words = (x[cut:cut + settings.phrases] for x in (elsewhere, places, sizes))
         automaton = ahocorasick.Automaton()
-        for k, a in enumerate(at.tolist()):
-            automaton.add_word(text[2 * a:2 * (a + size)], k)
+        for k, (a, n_words) in enumerate(zip(at.tolist(), words.tolist())):
+            automaton.add_word(text[2 * a:2 * (a + n_words)], k)
         automaton.make_automaton()
         hits = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
-        begin = (hits[:, 0] + 1) // 2 - size
-        begin = begin[own[hits[:, 1]] | (begin != at[hits[:, 1]])]
+        begin = (hits[:, 0] + 1) // 2 - words[hits[:, 1]]
+        goes = own[hits[:, 1]] | (begin != at[hits[:, 1]])
+        begin, length = begin[goes], words[hits[goes, 1]]
         begin -= np.searchsorted(ends, begin, side="left")
-        change += np.bincount(begin, minlength=n + 1) - np.bincount(begin + size, minlength=n + 1)
+        change += np.bincount(begin, minlength=n + 1) - np.bincount(begin + length, minlength=n + 1)
     return np.cumsum(change[:n]) > 0
 
 
@@ -268,7 +275,7 @@ def _remove(settings: PassageDedup, schema: pa.Schema):
             inside = _repeated(chunk)
             outside = np.concatenate([np.frombuffer(x, np.int64) for x in answers["starts"].to_pylist()] or [np.zeros(0, np.int64)])
             starts = np.union1d(inside, outside)
-            gone = _located(chunk, settings, starts, np.isin(starts, outside))
+            gone = _located(chunk, settings, starts, np.isin(starts, outside), np.isin(starts, inside))
             begins, spans = [0, *chunk.ends[:-1]], []
             texts, n_removed = [], []
             for a, b in zip(begins, chunk.ends, strict=True):

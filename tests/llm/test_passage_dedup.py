@@ -95,3 +95,30 @@ def test_located_is_by_the_words_themselves():
     chunk = _Chunk({"body": zstandard.compress(text), "n_bytes": len(text), "lengths": [len(text)]}, PassageDedup(window=3, anchor=2))
     gone = _located(chunk, PassageDedup(window=3), np.array([0]), np.array([False]))
     assert gone.tolist() == [False] * 5 + [True] * 3 + [False] * 2 + [True] * 3 + [False] * 3 + [True] * 3
+
+
+def test_passages_go_into_the_automaton_as_one_phrase(monkeypatch):
+    """Windows that occur once in the chunk are joined to passages; what goes is what goes window by window."""
+    import ahocorasick
+    import zstandard
+
+    texts = [b"a b c d e f g h i j", b"k a b c l m n o", b"d e f p q r s"]
+    row = {"body": zstandard.compress(b"".join(texts)), "n_bytes": sum(map(len, texts)), "lengths": list(map(len, texts))}
+    chunk = _Chunk(row, PassageDedup(window=3))
+    starts = np.array([0, 1, 2, 3, 4, 13, 14, 20])              # 0 (a b c) and 3 (d e f) repeat
+    elsewhere, again = np.array([True] * 5 + [False, True, True]), np.isin(starts, [0, 3])
+    automaton, added = ahocorasick.Automaton, []
+
+    class Seen:
+        def __init__(self):
+            self.own = automaton()
+            self.make_automaton, self.iter = self.own.make_automaton, self.own.iter
+
+        def add_word(self, word, k):
+            added.append(len(word) // 2)
+            self.own.add_word(word, k)
+
+    want = _located(chunk, PassageDedup(window=3), starts, elsewhere)
+    monkeypatch.setattr(ahocorasick, "Automaton", Seen)
+    got = _located(chunk, PassageDedup(window=3), starts, elsewhere, again)
+    assert (got == want).all() and got.any() and sorted(added) == [3, 3, 3, 3, 3, 3, 4]
