@@ -1,11 +1,11 @@
 """Customer-level feature rollups (A8–A13): one wide row per customer.
 
 Every rollup is one hash aggregate with many conditional measures (a single
-scan). Credits, applications, instalments and contract months are dealt to their
-key as narrow rows first (``dealt``) and aggregated there. The months of cards,
-many a customer, are partially aggregated before the shuffle instead. The
-monthly credit history is aggregated to one row per credit *before* it meets the
-credit table, so the join never sees month rows.
+scan, partial aggregation before the shuffle, so a hot customer key is
+pre-combined map-side). Groups finer than customers, credits with their months
+and contracts, are dealt as narrow rows and aggregated behind the shuffle
+(``dealt``). The monthly credit history is aggregated to one row per
+credit *before* it meets the credit table, so the join never sees month rows.
 Missing history stays NULL (LEFT joins; no imputation).
 """
 from __future__ import annotations
@@ -42,17 +42,17 @@ def n_where(cond: Column) -> Column:
     return F.count_if(cond)
 
 
-def dealt(rows: DataFrame, key: str, *columns: str) -> DataFrame:
-    """The columns that a rollup reads, shuffled by its key. A key has few rows in any one task of the scan: partial
-    aggregates there (a buffer for every measure, and for every contract where contracts are counted) would be wider
-    than the rows themselves and spill with the size of the task; behind the shuffle a key's rows are together."""
-    return rows.select(key, *columns).repartition(key)
+def dealt(rows: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+    """The columns that a rollup reads, shuffled by the keys of its finest groups. These have few rows in any one task of
+    the scan: partial aggregates there, a buffer for every measure and group, are wider than the rows themselves and
+    spill with the size of the task. Behind the shuffle a group's rows are together."""
+    return rows.select(*keys, *columns).repartition(*keys)
 
 
 def bureau_month_rollup(bureau_balance: DataFrame) -> DataFrame:
     """First level of A8: month rows → one row per credit."""
     status = F.col("status")
-    return dealt(bureau_balance, "sk_id_bureau", "status").groupBy("sk_id_bureau").agg(
+    return dealt(bureau_balance, ["sk_id_bureau"], "status").groupBy("sk_id_bureau").agg(
         n_rows().alias("bb_months"),
         n_where(status.isin(*DPD_STATUSES)).alias("bb_dpd_months"),
         n_where(status.isin(*SEVERE_DPD_STATUSES)).alias("bb_severe_dpd_months"),
@@ -62,10 +62,7 @@ def bureau_month_rollup(bureau_balance: DataFrame) -> DataFrame:
 
 def bureau_agg(bureau: DataFrame, bureau_balance: DataFrame) -> DataFrame:
     """Two-level rollup month → credit → customer (19 features)."""
-    per_credit = dealt(
-        bureau.join(bureau_month_rollup(bureau_balance), "sk_id_bureau", "left"), KEY, "credit_active", "credit_type",
-        "amt_credit_sum", "amt_credit_sum_debt", "amt_credit_sum_overdue", "credit_day_overdue", "cnt_credit_prolong", "days_credit",
-        "bb_months", "bb_dpd_months", "bb_severe_dpd_months", "bb_worst_status")
+    per_credit = bureau.join(bureau_month_rollup(bureau_balance), "sk_id_bureau", "left")
     active = F.col("credit_active")
     debt, amt = F.sum("amt_credit_sum_debt"), F.sum("amt_credit_sum")
     return per_credit.groupBy(KEY).agg(
@@ -95,9 +92,7 @@ def previous_app_agg(previous: DataFrame) -> DataFrame:
     """The institution's own application history (23 features)."""
     status, ctype, reason = F.col("name_contract_status"), F.col("name_contract_type"), F.col("code_reject_reason")
     refused = status == "Refused"
-    rows = dealt(previous, KEY, "name_contract_status", "name_contract_type", "code_reject_reason", "days_decision", "amt_application",
-                 "amt_credit", "amt_annuity", "rate_down_payment", "cnt_payment", "nflag_insured_on_approval")
-    return rows.groupBy(KEY).agg(
+    return previous.groupBy(KEY).agg(
         n_rows().alias("prev_app_count"),
         n_where(status == "Approved").alias("prev_approved_count"),
         n_where(refused).alias("prev_refused_count"),
@@ -137,7 +132,7 @@ def installments_agg(installments: DataFrame) -> DataFrame:
         (F.col("amt_payment") < F.col("amt_instalment") - 1).alias("underpaid"),
     )
     dpd, recent = F.col("dpd"), F.col("days_instalment") > ONE_YEAR_DAYS
-    return t.repartition(KEY).groupBy(KEY).agg(
+    return t.groupBy(KEY).agg(
         n_rows().alias("inst_count"),
         n_where(dpd > 0).alias("inst_late_count"),
         n_where(dpd > 30).alias("inst_late30_count"),
@@ -161,7 +156,7 @@ def pos_cash_agg(pos: DataFrame) -> DataFrame:
     """Point-of-sale / cash loan monthly snapshots (16 features)."""
     dpd, status = F.col("sk_dpd"), F.col("name_contract_status")
     recent = F.col("months_balance") > ONE_YEAR_MONTHS
-    rows = dealt(pos, KEY, "sk_id_prev", "months_balance", "cnt_instalment", "cnt_instalment_future", "name_contract_status", "sk_dpd", "sk_dpd_def")
+    rows = dealt(pos, [KEY, "sk_id_prev"], "months_balance", "cnt_instalment", "cnt_instalment_future", "name_contract_status", "sk_dpd", "sk_dpd_def")
     return rows.groupBy(KEY).agg(
         n_rows().alias("pos_month_count"),
         F.countDistinct("sk_id_prev").alias("pos_contract_count"),

@@ -1,4 +1,4 @@
-"""Rollups are aggregated behind the shuffle of narrow rows, and count as plain Python does."""
+"""Credits and contracts are aggregated behind the shuffle of narrow rows, and count as plain Python does."""
 from pyspark.sql import functions as F
 
 from lendspark.operators import features as feat
@@ -15,12 +15,6 @@ def pos_rows(spark):
         (i % 50).alias("sk_dpd"), (i % 25).alias("sk_dpd_def"), F.lit("unread").alias("comment"))
 
 
-def installment_rows(spark):
-    i = F.col("id")
-    return spark.range(400).select((i % 9).alias("sk_id_curr"), (-(i % 700)).alias("days_instalment"), (i % 40 - 700).alias("days_entry_payment"),
-                                   i.cast("double").alias("amt_instalment"), (i - i % 3).cast("double").alias("amt_payment"))
-
-
 def plan_of(df, spark):
     """Plan lines, top first, without adaptive execution's wrapping."""
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -30,13 +24,14 @@ def plan_of(df, spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_no_aggregate_before_the_shuffle(spark):
-    for rollup in (feat.pos_cash_agg(pos_rows(spark)), feat.installments_agg(installment_rows(spark))):
-        lines = plan_of(rollup, spark)
-        shuffles = [n for n, line in enumerate(lines) if "Exchange hashpartitioning" in line]
-        assert len(shuffles) == 1
-        assert not [line for line in lines[shuffles[0]:] if "Aggregate" in line]
-        assert "comment" not in lines[shuffles[0] + 1]
+def test_contracts_are_shuffled_as_rows(spark):
+    """Rows are shuffled by customer and contract, then one partial aggregate a customer and task."""
+    lines = plan_of(feat.pos_cash_agg(pos_rows(spark)), spark)
+    shuffles = [n for n, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(shuffles) == 2
+    assert [line for line in lines[shuffles[0]:shuffles[1]] if "Aggregate" in line]
+    assert not [line for line in lines[shuffles[1]:] if "Aggregate" in line]
+    assert "comment" not in lines[shuffles[1] + 1]
 
 
 def test_months_are_shuffled_as_rows(spark):
