@@ -3,7 +3,9 @@ decomposition (M18), on ``pyspark.ml``.
 
 Spark trees have no learned direction for missing values, so every numeric
 feature with NULLs gets a missing indicator and the NULL itself a sentinel far
-below the observed range. Categories go through ``StringIndexer`` with
+below the observed range. Indicators that are constant on the training rows, or
+equal to an earlier one, can win no split and are left out of the fit: each one
+costs as much a tree as a feature. Categories go through ``StringIndexer`` with
 ``handleInvalid='keep'`` (unseen levels share one extra index).
 
 Early stopping is by AUC on the validation rows, with patience. Boosting with n trees is a prefix of boosting with
@@ -66,6 +68,24 @@ def prepare(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -
     return df.select("*", *cols), inputs
 
 
+def idle_indicators(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> set[str]:
+    """Missing indicators that no tree on ``train`` can split on: constant ones, and those equal to an earlier feature's
+    (of equal gains the first wins). Two are equal when as many rows miss the features
+    and their hashes have the same sum: a sum in doubles never overflows, and equal columns round alike."""
+    if not numeric:
+        return set()
+    row = F.xxhash64(*numeric, *categorical).cast("double")
+    d = train.select(row.alias("_row"), *[F.col(f).cast("double").isNull().alias(f"m_{f}") for f in numeric])
+    seen = d.agg(F.count(F.lit(1)), *[a for f in numeric for a in (F.count_if(F.col(f"m_{f}")), F.sum(F.when(F.col(f"m_{f}"), F.col("_row"))))]).first()
+    idle, first = set(), set()
+    for i, f in enumerate(numeric):
+        missing = seen[1 + 2 * i], seen[2 + 2 * i]
+        if missing[0] in (0, seen[0]) or missing in first:
+            idle.add(f"m_{f}")
+        first.add(missing)
+    return idle
+
+
 def leaf_values(model: GBTClassificationModel, spark) -> np.ndarray:
     """Weighted value of every leaf, one row a tree, in the order of the model's leaf indices. Read from the saved model:
     trees x 2^depth numbers, whatever the data."""
@@ -143,8 +163,9 @@ def fit(df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence
     spark = df.sparkSession
     d, inputs = prepare(df, numeric, categorical)
     d = d.withColumn("_label", F.col(label).cast("double"))
-    inputs = inputs + [f"i_{f}" for f in categorical]
     train = d.where(~F.col(validation)) if validation else d
+    idle = idle_indicators(train, numeric, categorical)
+    inputs = [c for c in inputs if c not in idle] + [f"i_{f}" for f in categorical]
     stages = [StringIndexer(inputCol=f"c_{f}", outputCol=f"i_{f}", handleInvalid="keep") for f in categorical]
     ready = Pipeline(stages=stages + [VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")]).fit(train)
     levels = [len(m.labels) + 1 for m in ready.stages[:-1]]           # one more for unseen levels

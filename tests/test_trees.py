@@ -56,3 +56,24 @@ def test_one_class_in_validation_keeps_the_first_run(rows):
     ([0.5, 0.6, 0.55, 0.7], 2, (4, False)), ([0.7, 0.6, 0.65, 0.9], 2, (1, True)), ([None, 0.5], 3, (2, False))])
 def test_patience(aucs, patience, want):
     assert trees.best_stage(aucs, patience) == want
+
+
+def test_idle_indicators_are_left_out_of_the_fit_and_change_no_tree(spark, rows, monkeypatch):
+    full = rows.select("id", "target", "c", "valid", "z", "x", (F.col("x") * F.col("z")).alias("xz"),
+                       F.when(F.col("id") % 7 > 0, F.col("z")).alias("z7"), F.lit(None).cast("double").alias("none"))
+    full = full.unionByName(full.where("id < 200"))                 # repeated rows
+    numeric = ["z", "x", "xz", "z7", "none"]
+    tm = trees.fit(full, "target", numeric, ["c"], max_trees=5)
+    assert [c for c in tm.inputs if c.startswith("m_")] == ["m_x", "m_z7"]
+    monkeypatch.setattr(trees, "idle_indicators", lambda *a: set())
+    whole = trees.fit(full, "target", numeric, ["c"], max_trees=5)
+    assert len(whole.inputs) == len(tm.inputs) + 3
+    gain = lambda m: {r["feature"]: r["importance"] for r in trees.importance(m, spark).collect()}
+    assert gain(tm) == pytest.approx(gain(whole))
+    score = lambda m: [r[0] for r in trees.predict(m, full, numeric, ["c"]).orderBy("id").select("tree_probability").collect()]
+    assert score(tm) == pytest.approx(score(whole))
+
+
+def test_indicators_missing_in_as_many_other_rows_stay(spark):
+    d = spark.createDataFrame([(0, None, 1.0), (0, None, 1.0), (1, 2.0, None), (1, 2.0, None)], "target int, a double, b double")
+    assert trees.idle_indicators(d, ["a", "b"]) == set()
