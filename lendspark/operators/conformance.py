@@ -39,20 +39,32 @@ class RequestSchema:
 def rejection(features: Column, schema: RequestSchema) -> Column:
     """Why a request cannot be scored, or NULL."""
     unknown = F.sort_array(F.array_except(F.map_keys(features), F.lit(schema.names)))
-    named = F.concat(F.lit("unknown features: "), F.array_join(F.slice(unknown, 1, NAMED_UNKNOWN), ", "),
-                     F.when(F.size(unknown) > NAMED_UNKNOWN, " ...").otherwise(""))
-    return F.when(features.isNull() | (F.size(features) == 0), F.lit("empty request")).when(F.size(unknown) > 0, named)
 
+    def named(names: Column) -> Column:
+        return F.when(F.size(names) > 0, F.concat(F.lit("unknown features: "), F.array_join(F.slice(names, 1, NAMED_UNKNOWN), ", "),
+                                                  F.when(F.size(names) > NAMED_UNKNOWN, " ...").otherwise("")))
 
-def typed(features: Column, schema: RequestSchema) -> list[Column]:
-    """The model's columns from the map."""
-    out = []
+    return F.when(features.isNull() | (F.size(features) == 0), F.lit("empty request")).otherwise(
+        F.get(F.transform(F.array(unknown), named), 0))        # the names are searched once
+
+
+def given(features: Column, schema: RequestSchema) -> Column:
+    """The texts of the model's features in the order of its names, NULL for those that the map lacks. One pass over both by
+    hash: a look-up of every name would search the map, features x features steps a request."""
+    names = list(dict.fromkeys(schema.names))
+    places = F.map_from_arrays(F.lit(names), F.lit(list(range(len(names)))))
+    return F.map_values(F.map_zip_with(places, features, lambda name, place, text: text))
+
+
+def typed(texts: Column, schema: RequestSchema) -> list[Column]:
+    """The model's columns from what is ``given``."""
+    place, out = {name: i for i, name in enumerate(dict.fromkeys(schema.names))}, []
     for name in schema.numeric:
-        v = F.element_at(features, name)
+        v = F.get(texts, place[name])
         number = F.when(F.lower(F.trim(v)).isin("true", "false"), (F.lower(F.trim(v)) == "true").cast("double")).otherwise(v.try_cast("double"))
         out.append(F.when(~F.isnan(number), number).alias(name))
     for name, levels in schema.categorical.items():
-        v = F.element_at(features, name)
+        v = F.get(texts, place[name])
         out.append(F.when(v.isin(list(levels)) if levels else F.lit(False), v).alias(name))
     return out
 
@@ -64,4 +76,8 @@ def conform(requests: DataFrame, features: str, schema: RequestSchema) -> DataFr
     clash = sorted({"reason", *schema.names} & set(kept))
     if clash:
         raise ValueError(f"request columns named as the model's: {clash}")
-    return requests.select(*kept, rejection(F.col(features), schema).alias("reason"), *typed(F.col(features), schema))
+    if not schema.names:
+        return requests.select(*kept, rejection(F.col(features), schema).alias("reason"))
+    texts = max([*requests.columns, "reason", *schema.names], key=len) + "_"        # a name that none of them has
+    once = requests.select(*kept, rejection(F.col(features), schema).alias("reason"), given(F.col(features), schema).alias(texts))
+    return once.select(*kept, "reason", *typed(F.col(texts), schema))
